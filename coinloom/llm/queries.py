@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import chat, pii, sharding
+from coinloom.llm import chat, pieces, pii, sharding, weighted_minhash
 from coinloom.llm.common import table
 
 
@@ -31,10 +31,22 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(chat.format_windows(turns.unionByName(probe)))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
+    "op9_minhash": op9_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
