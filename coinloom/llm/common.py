@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coinloom.llm.kernels import pieces as slices
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,3 +51,21 @@ def running_starts(lengths: Column) -> Column:
         )
 
     return let(lengths, lambda v: F.when(F.size(v) > 0, by_block(v)).otherwise(F.array().cast("array<int>")))
+
+
+def filter_rows(
+    rows: DataFrame, column: str, keep: Callable[[pa.Array], np.ndarray], most_bytes: int = 1_000_000
+) -> DataFrame:
+    """Rows of `rows` for which `keep`, given a stretch of the text column, says True; all columns stay as they are.
+
+    Columns are passed by place, so any names will do, even repeated ones or names with dots.
+    """
+    at = rows.columns.index(column)
+    placed = rows.toDF(*(f"c{i}" for i in range(len(rows.columns))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, f"c{at}", 4096, most_bytes):
+                yield part.filter(pa.array(keep(part.column(at)), pa.bool_()))
+
+    return placed.mapInArrow(run, placed.schema).toDF(*rows.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import chat, pieces, pii, sharding, weighted_minhash
+from coinloom.llm import chat, pieces, pii, sharding, toxicity, weighted_minhash
 from coinloom.llm.common import table
 
 
@@ -41,12 +41,17 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
     "op9_minhash": op9_minhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
