@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import chat, pieces, pii, sharding, toxicity, weighted_minhash
+from coinloom.llm import chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash
 from coinloom.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(chat.format_windows(turns.unionByName(probe)))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,6 +52,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
+    "op3_decontamination": op3_decontamination,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
     "op9_minhash": op9_minhash,
