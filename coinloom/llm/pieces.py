@@ -195,15 +195,15 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def digest_documents(docs: DataFrame, model: str) -> DataFrame:
-    """`doc_id, n_tokens, ids_sha256, decoded_sha256, covered_bytes` of every whole text.
+def digest_documents(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
+    """`doc_id, n_tokens, ids_sha256, decoded_sha256, covered_bytes` (and `ids`) of every whole text.
 
     The ids and spans come from `Encoder.encode` and are digested where they are made, so that the
     long arrays never leave the task. `covered_bytes` is where the last piece's span ends.
     """
     schema = (
         f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
-        "covered_bytes long"
+        "covered_bytes long" + (", ids array<int>" if with_ids else "")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,20 +211,23 @@ def digest_documents(docs: DataFrame, model: str) -> DataFrame:
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
             for part in slices(batch, "text", 256, 1_000_000):
-                n, ids_sha, text_sha, covered = [], [], [], []
+                n, ids_sha, text_sha, covered, kept = [], [], [], [], []
                 for ids, _, ends in enc.encode([t or "" for t in part.column("text").to_pylist()]):
                     n.append(len(ids))
                     ids_sha.append(sha(",".join([enc.names[i] for i in ids]).encode()))
                     text_sha.append(sha(enc.decoder.decode(ids).encode()))
                     covered.append(int(ends[-1]) if len(ends) else 0)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "n_tokens": pa.array(n, pa.int64()),
-                        "ids_sha256": pa.array(ids_sha, pa.string()),
-                        "decoded_sha256": pa.array(text_sha, pa.string()),
-                        "covered_bytes": pa.array(covered, pa.int64()),
-                    }
-                )
+                    if with_ids:
+                        kept.append(np.array(ids, dtype=np.int32))
+                columns = {
+                    "doc_id": part.column("doc_id"),
+                    "n_tokens": pa.array(n, pa.int64()),
+                    "ids_sha256": pa.array(ids_sha, pa.string()),
+                    "decoded_sha256": pa.array(text_sha, pa.string()),
+                    "covered_bytes": pa.array(covered, pa.int64()),
+                }
+                if with_ids:
+                    columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id"), F.col("text")).mapInArrow(run, schema)

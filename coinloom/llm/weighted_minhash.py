@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinloom.llm.kernels import U64, Words, counted, mixed, shingles
@@ -287,6 +287,11 @@ def _jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) ->
     return float(low / (w1.sum() + w2.sum() - low))
 
 
+def nameless_class(text: Column) -> Column:
+    """The negative class id of texts that have no doc_id."""
+    return -2 - F.shiftrightunsigned(F.xxhash64(F.md5(text)), 1)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """`doc_id, class_id, kept` for every row of `docs` (doc_id, text).
 
@@ -303,7 +308,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("print", F.md5("text"))
     frequencies = document_frequencies(base)
     signed = staged(signatures(base, frequencies))
-    nameless = F.expr("-2 - shiftrightunsigned(xxhash64(print), 1)")
+    nameless = -2 - F.shiftrightunsigned(F.xxhash64("print"), 1)
     nodes = staged(
         signed.groupBy("print")
         .agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
