@@ -10,34 +10,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def blocked_members(rows: DataFrame, bucket: str, ident: str, block: int = 4096) -> DataFrame:
+def blocked_members(
+    rows: DataFrame, bucket: str, ident: str, block: int = 4096, alone: bool = False
+) -> DataFrame:
     """Rows of buckets with two members or more, dealt out so that any two members meet in one group.
 
     A bucket of more than `block` members is split by a hash of `ident` into blocks, and every two
     blocks meet in a group of their own (`_bi`, `_bj`): no group holds more than about 2 * block
-    rows, and no member is left out. The result is partitioned and sorted by (bucket, _bi, _bj,
-    ident); `run_groups` reads it.
+    rows, and no member is left out. With `alone`, each block has a group to itself too, and `_own`
+    tells a member's block, so that pairs can be counted once: those of one block where it is alone,
+    those across blocks where the two meet. `dealt` gives the result its place in the cluster.
     """
     sizes = rows.groupBy(bucket).agg(F.count("*").alias("_n")).filter("_n > 1")
-    dealt = rows.join(sizes, bucket).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+    spread = rows.join(sizes, bucket).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
     own = F.pmod(F.xxhash64(ident), F.col("_blocks")).cast("int")
     meet = F.when(
         F.col("_blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
     ).otherwise(
         F.transform(
-            F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda j: j != own),
+            F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda j: F.lit(alone) | (j != own)),
             lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")),
         )
     )
-    keys = [bucket, "_bi", "_bj"]
-    return (
-        dealt.withColumn("_meet", F.explode(meet))
-        .select(*rows.columns, F.col("_meet.i").alias("_bi"), F.col("_meet.j").alias("_bj"))
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, ident)
+    return spread.withColumn("_meet", F.explode(meet)).select(
+        *rows.columns, F.col("_meet.i").alias("_bi"), F.col("_meet.j").alias("_bj"), own.alias("_own")
     )
 
 
+def dealt(members: DataFrame, bucket: str, ident: str) -> DataFrame:
+    """Groups of `blocked_members` side by side, in order: what `run_groups` reads."""
+    keys = [bucket, "_bi", "_bj"]
+    return members.repartition(*keys).sortWithinPartitions(*keys, ident)
+
+
 def run_groups(
     batches: Iterator[pa.RecordBatch], keys: list[str], work: Callable[[pa.RecordBatch], None]
 ) -> Iterator[None]:

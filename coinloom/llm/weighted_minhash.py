@@ -3,8 +3,10 @@
 1. Document frequencies of all shingles go into a count-min sketch of fixed size.
 2. Every text gets 48 consistent weighted samples and 12 band keys of 4 samples.
 3. In each bucket of a band, candidates are the pairs whose samples agree often enough; first those
-   between a leader and its followers, then those between different components found so far.
+   between a leader and its followers.
 4. Candidates are verified by their exact weighted Jaccard similarity; links give components.
+5. Texts that agree with one of another component get 512 more samples; pairs that these leave open
+   are verified too, as far as they would join components.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from coinloom.llm.kernels import U64, Words, counted, mixed, shingles
 from coinloom.llm.kernels import pieces as slices
-from coinloom.llm.pairs import blocked_members, run_groups
+from coinloom.llm.pairs import blocked_members, dealt, run_groups
 from coinloom.operators.components import connected_components
 from coinloom.operators.scratch import staged
 
@@ -32,6 +34,10 @@ SAMPLES = BANDS * ROWS
 # Of 48 samples, how many must agree before a pair is verified: at a similarity of 0.8 fewer than 29
 # agree in 1 of 2,000 pairs.
 AGREE = 29
+# The second look: of 512 samples, from how many on a pair is verified (at 0.8, fewer agree in 1 of
+# 3,000 pairs), and from how many on it stands for the links of its two ends with each other.
+FINE = 512
+FINE_AGREE, FINE_SURE = 379, 441
 # A shingle's weight is its count times 1 to 1 + IDF_GAIN, falling with its document frequency.
 IDF_GAIN = 0.25
 
@@ -117,27 +123,29 @@ def _random_tables() -> tuple[np.ndarray, ...]:
     u = rng.random((5, 1 << 16))
     r = -np.log(u[0] * u[1])
     c = np.log(-np.log(u[2] * u[3]))
-    odd = rng.integers(1, 2**62, SAMPLES, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+    odd = rng.integers(1, 2**62, SAMPLES + FINE, dtype=np.int64).astype(U64) * U64(2) + U64(1)
     return r.astype(np.float32), (1 / r).astype(np.float32), c.astype(np.float32), u[4].astype(np.float32), odd
 
 
 _tables: list[tuple[np.ndarray, ...]] = []
 
 
-def samples(docs: np.ndarray, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct docs, their samples as uint32 of shape (docs, 48)); rows must be sorted by doc."""
+def samples(
+    docs: np.ndarray, hashes: np.ndarray, weights: np.ndarray, which: range = range(SAMPLES)
+) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct docs, their samples as uint32, a column for each of `which`); rows must be sorted by doc."""
     if not _tables:
         _tables.append(_random_tables())
     r, r_inv, ln_c, beta, odd = _tables[0]
     new = np.ones(len(docs), dtype=bool)
     new[1:] = docs[1:] != docs[:-1]
     at = np.flatnonzero(new)
-    out = np.empty((len(at), SAMPLES), dtype=np.uint32)
+    out = np.empty((len(at), len(which)), dtype=np.uint32)
     if not len(at):
         return docs[at], out
     ln_w = np.log(weights).astype(np.float32)
     name = (hashes ^ (hashes >> U64(20))).astype(np.uint32)
-    for k in range(SAMPLES):
+    for column, k in enumerate(which):
         i = ((hashes * odd[k]) >> U64(48)).astype(np.int32)
         rk, bk = r[i], beta[i]
         t = np.floor(ln_w * r_inv[i] + bk)
@@ -146,7 +154,7 @@ def samples(docs: np.ndarray, hashes: np.ndarray, weights: np.ndarray) -> tuple[
         order = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32)
         pick = name + t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1)
         best = np.minimum.reduceat((order.astype(U64) << U64(32)) | pick, at)
-        out[:, k] = best.astype(np.uint32)
+        out[:, column] = best.astype(np.uint32)
     return docs[at], out
 
 
@@ -168,7 +176,7 @@ def signatures(docs: DataFrame, frequencies: Frequencies) -> DataFrame:
                 keys = mixed(keys + np.arange(BANDS, dtype=U64))
                 bands: list = [None] * part.num_rows
                 sigs: list = [None] * part.num_rows
-                short = (sig ^ (sig >> np.uint32(16)) ^ (sig >> np.uint32(8))).astype(np.uint8)
+                short = _short(sig)
                 for j, d in enumerate(have.tolist()):
                     bands[d] = keys[j].view(np.int64)
                     sigs[d] = short[j].tobytes()
@@ -187,52 +195,132 @@ def signatures(docs: DataFrame, frequencies: Frequencies) -> DataFrame:
     )
 
 
-def _candidates(members: DataFrame, apart: bool) -> DataFrame:
-    """Pairs (a, b), a < b, of bucket members whose samples agree.
+def _short(sig: np.ndarray) -> np.ndarray:
+    """One byte of each sample."""
+    return (sig ^ (sig >> np.uint32(16)) ^ (sig >> np.uint32(8))).astype(np.uint8)
 
-    apart=False: each bucket's leaders (smallest node not yet led) with their followers.
-    apart=True: pairs of different components only.
-    """
-    columns = ["bucket", "node", "sig", "component"] if apart else ["bucket", "node", "sig"]
-    dealt = blocked_members(members.select(*columns), "bucket", "node")
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _as_pairs(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+    out.clear()
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _grouped(members: DataFrame) -> DataFrame:
+    return dealt(blocked_members(members, "bucket", "node"), "bucket", "node")
+
+
+GROUP = ["bucket", "_bi", "_bj"]
+
+
+def _leaders(members: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of each group's leaders (smallest node not yet led) and their followers."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def leaders(node: np.ndarray, sig: np.ndarray) -> None:
+        def work(group: pa.RecordBatch) -> None:
+            node, sig = group.column("node").to_numpy(), _matrix(group.column("sig"))
             while len(node) > 1:
                 near = (sig[1:] == sig[0]).sum(1) >= AGREE
                 if near.any():
                     out.append((np.full(int(near.sum()), node[0]), node[1:][near]))
                 node, sig = node[1:][~near], sig[1:][~near]
 
-        def across(node: np.ndarray, sig: np.ndarray, comp: np.ndarray) -> None:
+        for _ in run_groups(batches, GROUP, work):
+            if out:
+                yield _as_pairs(out)
+
+    return _grouped(members).mapInArrow(find, "a long, b long").distinct()
+
+
+def _open_nodes(members: DataFrame) -> DataFrame:
+    """Nodes whose samples agree with those of a node of another component in their bucket."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[np.ndarray] = []
+
+        def work(group: pa.RecordBatch) -> None:
+            comp = group.column("component").to_numpy()
+            if (comp == comp[0]).all():
+                return
+            node, sig = group.column("node").to_numpy(), _matrix(group.column("sig"))
+            touched = np.zeros(len(node), bool)
             for i in range(len(node) - 1):
                 other = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
-                if len(other):
-                    near = other[(sig[other] == sig[i]).sum(1) >= AGREE]
-                    if len(near):
-                        out.append((np.full(len(near), node[i]), node[near]))
+                near = other[(sig[other] == sig[i]).sum(1) >= AGREE]
+                touched[near] = True
+                touched[i] |= len(near) > 0
+            if touched.any():
+                out.append(node[touched])
 
-        def work(group: pa.RecordBatch) -> None:
-            node = group.column("node").to_numpy()
-            if apart:
-                comp = group.column("component").to_numpy()
-                if (comp == comp[0]).all():
-                    return
-            raw = group.column("sig")
-            sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, SAMPLES)
-            across(node, sig, comp) if apart else leaders(node, sig)
-
-        for _ in run_groups(batches, ["bucket", "_bi", "_bj"], work):
+        for _ in run_groups(batches, GROUP, work):
             if out:
-                a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)))], ["node"])
                 out.clear()
+
+    return _grouped(members).mapInArrow(find, "node long").distinct()
+
+
+def _fine(texts: DataFrame, frequencies: Frequencies) -> DataFrame:
+    """`node, fine`: 512 more samples, one byte of each."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequencies)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 4096, 1_000_000):
+                where, hashes, times = _features(part.column("text"))
+                weights = times * shared.value.idf(hashes)
+                have, sig = samples(where, hashes, weights, range(SAMPLES, SAMPLES + FINE))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+                    [part.column("node").take(pa.array(have)), pa.array([x.tobytes() for x in _short(sig)], pa.binary())],
+                    ["node", "fine"],
                 )
 
-    return dealt.mapInArrow(find, "a long, b long").distinct()
+    return texts.select("node", "text").mapInArrow(sign, "node long, fine binary")
+
+
+def _bridges(members: DataFrame) -> DataFrame:
+    """Pairs of different components that the 512 samples leave open.
+
+    Pairs that are sure to link join their ends first; of the others, those are kept whose ends are
+    still apart.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def work(group: pa.RecordBatch) -> None:
+            comp = group.column("component").to_numpy()
+            if (comp == comp[0]).all():
+                return
+            node, sig = group.column("node").to_numpy(), _matrix(group.column("fine"))
+            _, part = np.unique(comp, return_inverse=True)
+            maybe: list[tuple[int, np.ndarray]] = []
+            for i in range(len(node) - 1):
+                other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                same = (sig[other] == sig[i]).sum(1)
+                for j in other[same >= FINE_SURE]:
+                    if part[i] != part[j]:
+                        out.append((node[i : i + 1], node[j : j + 1]))
+                        part[part == part[j]] = part[i]
+                near = other[(same >= FINE_AGREE) & (same < FINE_SURE)]
+                if len(near):
+                    maybe.append((i, near))
+            for i, near in maybe:
+                apart = near[part[near] != part[i]]
+                if len(apart):
+                    out.append((np.full(len(apart), node[i]), node[apart]))
+
+        for _ in run_groups(batches, GROUP, work):
+            if out:
+                yield _as_pairs(out)
+
+    return _grouped(members).mapInArrow(find, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, frequencies: Frequencies, threshold: float, each: int = 64) -> DataFrame:
@@ -322,7 +410,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     texts = staged(
         named.join(wanted, "node").filter("p = print").groupBy("node").agg(F.first("text").alias("text"))
     )
-    first = staged(_candidates(members, apart=False))
+    first = staged(_leaders(members.select("bucket", "node", "sig")))
     links = staged(_verified(first, texts, frequencies, threshold))
     found = staged(connected_components(links, "a", "b"))
     placed = (
@@ -330,8 +418,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .withColumn("component", F.coalesce("component", "node"))
         .select("bucket", "node", "sig", "component")
     )
-    second = staged(_candidates(placed, apart=True).join(first, ["a", "b"], "left_anti"))
-    more = staged(_verified(second, texts, frequencies, threshold))
+    still_open = staged(_open_nodes(placed))
+    fine = staged(_fine(texts.join(still_open, "node"), frequencies))
+    second = _bridges(placed.drop("sig").join(fine, "node")).join(first, ["a", "b"], "left_anti")
+    more = staged(_verified(staged(second), texts, frequencies, threshold))
     whole = connected_components(links.unionByName(more), "a", "b")
     classes = (
         nodes.select("print", "node")
