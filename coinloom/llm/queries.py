@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash
+from coinloom.llm import cap_filters, chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash
 from coinloom.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
     "op3_decontamination": op3_decontamination,
+    "op4_embeddings": op4_embeddings,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
     "op9_minhash": op9_minhash,
