@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import cap_filters, chaining, chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash
+from coinloom.llm import cap_filters, chaining, chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash, wrappers
 from coinloom.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_decontamination": op3_decontamination,
     "op4_embeddings": op4_embeddings,
+    "op5_html": op5_html,
     "op6_substrings": op6_substrings,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
