@@ -288,7 +288,7 @@ def _bridges(members: DataFrame) -> DataFrame:
     """Pairs of different components that the 512 samples leave open.
 
     Pairs that are sure to link join their ends first; of the others, those are kept whose ends are
-    still apart.
+    still apart. A pair that meets in several bands counts in the first of them only.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,6 +300,8 @@ def _bridges(members: DataFrame) -> DataFrame:
                 return
             node, sig = group.column("node").to_numpy(), _matrix(group.column("fine"))
             _, part = np.unique(comp, return_inverse=True)
+            bands = group.column("bands").flatten().to_numpy().reshape(len(node), BANDS)
+            here = int(np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0])
             maybe: list[tuple[int, np.ndarray]] = []
             for i in range(len(node) - 1):
                 other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
@@ -309,6 +311,7 @@ def _bridges(members: DataFrame) -> DataFrame:
                         out.append((node[i : i + 1], node[j : j + 1]))
                         part[part == part[j]] = part[i]
                 near = other[(same >= FINE_AGREE) & (same < FINE_SURE)]
+                near = near[~(bands[near, :here] == bands[i, :here]).any(1)]
                 if len(near):
                     maybe.append((i, near))
             for i, near in maybe:
@@ -419,7 +422,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .select("bucket", "node", "sig", "component")
     )
     still_open = staged(_open_nodes(placed))
-    fine = staged(_fine(texts.join(still_open, "node"), frequencies))
+    fine = staged(_fine(texts.join(still_open, "node"), frequencies)).join(nodes.select("node", "bands"), "node")
     second = _bridges(placed.drop("sig").join(fine, "node")).join(first, ["a", "b"], "left_anti")
     more = staged(_verified(staged(second), texts, frequencies, threshold))
     whole = connected_components(links.unionByName(more), "a", "b")
