@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import cap_filters, chaining, chat, decontam, pieces, pii, sharding, toxicity, weighted_minhash, wrappers
+from coinloom.llm import cap_filters, chaining, chat, decontam, oracles, pieces, pii, sharding, toxicity, weighted_minhash, wrappers
 from coinloom.llm.common import table
 
 
@@ -81,4 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_sharding": oracles.SHARDING,
+    "op4_embeddings": oracles.EMBEDDINGS,
+    "op8_chat": oracles.CHAT,
+}
