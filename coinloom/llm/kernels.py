@@ -110,7 +110,7 @@ def counted(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (key >> U64(48)).astype(np.int64), key & U64((1 << 48) - 1), times
 
 
-def pieces(batch: pa.RecordBatch, column: str, most_rows: int = 1024, most_bytes: int = 4_000_000):
+def pieces(batch: pa.RecordBatch, column: str, most_rows: int = 4096, most_bytes: int = 1_000_000):
     """Split a batch into slices that hold few rows and few bytes of a text column; one long text may exceed that."""
     n, at = batch.num_rows, 0
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
