@@ -261,7 +261,7 @@ _SPENDABLE = "EXISTS (SELECT 1 FROM raw r WHERE r.height = b.height AND NOT r.dr
 
 @registered(f"""SELECT b.height, CASE WHEN coalesce(f.i, false) AND coalesce(f.o, false) THEN 'both' WHEN coalesce(f.i, false) THEN 'vin' WHEN coalesce(f.o, false) THEN 'vout'
     WHEN {_SPENDABLE} THEN 'op_return_only' ELSE 'coinbase_only' END AS features, 'done' AS vout_status,
-    CASE WHEN coalesce(f.i, false) THEN 'done' ELSE 'pending' END AS vin_status
+    'done' AS vin_status
   FROM (SELECT DISTINCT height FROM tx) b LEFT JOIN feat f ON f.height = b.height""")
 def block_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = _flat(spark, sf_dir)
