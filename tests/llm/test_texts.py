@@ -92,9 +92,11 @@ def test_passages(spark):
     docs[2][5:5], docs[7][9:9] = prose(30, 3), prose(30, 3)  # too short
     texts = [text(d) for d in docs] + [None, "", text(docs[4])]
     found = chaining.repeated_passages(documents(spark, texts)).collect()
-    assert {(r.doc_id, r.other_id) for r in found} == {(3, 0), (5, 0), (6, 1), (10, 4)}
+    # which of the first two the third is joined to depends on where the table is cut
+    assert {(r.doc_id, r.other_id) for r in found} - {(5, 0), (5, 3)} == {(3, 0), (6, 1), (10, 4)}
+    assert len(found) == 4
     for r in found:
-        if r.other_id == 0:
+        if r.doc_id in (3, 5):
             assert Words(pa.array([texts[r.doc_id][r.start : r.end]])).hash.tolist() == Words(pa.array([" ".join(shared)])).hash.tolist()
     assert chaining.repeated_passages(documents(spark, ["x"]).limit(0)).count() == 0
 
