@@ -98,10 +98,9 @@ def missing_heights(status: DataFrame, tip: int) -> DataFrame:
 def top_up(status: DataFrame, tip: int) -> DataFrame:
     """`status` with a pending row for each height after its greatest, up to the tip."""
     spark = status.sparkSession
-    most = status.agg(F.coalesce(F.max("height"), F.lit(-1)).alias("m"))
+    most = status.agg(F.coalesce(F.max("height"), F.lit(-1))).first()[0]
     new = (
-        spark.range(tip + 1).select(F.col("id").cast("int").alias("height")).join(F.broadcast(most))  # one row
-        .filter("height > m")
+        spark.range(most + 1, max(tip, most) + 1).select(F.col("id").cast("int").alias("height"))
         .select(
             "height", F.lit(None).cast("string").alias("features"), *(F.lit("pending").alias(f"{p}_status") for p in PHASES),
             F.lit(None).cast("timestamp").alias("updated_at"),

@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The session's checkpoint folder, shared by all executors.
 
-    Where the setting is absent (tests, one machine) a temporary folder is registered instead.
+    Where the setting is absent on one machine (tests) a temporary folder is registered instead; a
+    cluster without the setting is refused, since its executors share no local folder.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="coinloom-")
         spark.sparkContext.setCheckpointDir(root)
     return root
