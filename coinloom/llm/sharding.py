@@ -39,8 +39,8 @@ def assign_shards(rows: DataFrame, weight: Column, order: list[str], shards: int
         "_part",
         F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_w0"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        F.sum("_w").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
     )
-    whole = parts.agg(F.sum("_w").alias("_total"))
     inside = Window.partitionBy("_part").orderBy("_at")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
@@ -48,7 +48,6 @@ def assign_shards(rows: DataFrame, weight: Column, order: list[str], shards: int
             "*", F.sum("_weight").over(running).alias("_end"), F.row_number().over(inside).alias("_nth")
         )
         .join(offsets, "_part")
-        .join(F.broadcast(whole))  # exactly one row
         .withColumn("_twice_mid", 2 * (F.col("_w0") + F.col("_end")) - F.col("_weight"))
         .withColumn("shard", F.expr(f"cast(least({shards - 1}, (_twice_mid * {shards}) div (2 * _total)) as int)"))
         .withColumn("_rank", F.col("_n0") + F.col("_nth") - 1)
