@@ -37,7 +37,8 @@ raw0 AS (
   FROM lineitem JOIN ident i ON l_orderkey = o_orderkey),
 raw AS (SELECT *, {_ADDRESS.format("owner")} AS address, {_TYPE.format("owner")} AS address_type FROM raw0),
 ev AS (
-  SELECT owner AS who, received_time AS t, o_orderkey AS k, 0 AS kind, txid, idx, address, address_type, amount, NULL AS nx FROM raw WHERE NOT dropped
+  SELECT owner AS who, received_time AS t, o_orderkey AS k, 0 AS kind, txid, idx, address, address_type, amount,
+         NULL::STRUCT(txid VARCHAR, height INTEGER, block_hash VARCHAR, received_time TIMESTAMP) AS nx FROM raw WHERE NOT dropped
   UNION ALL
   SELECT o_custkey, received_time, o_orderkey, 1, NULL, NULL, NULL, NULL, NULL,
          struct_pack(txid := txid, height := height, block_hash := block_hash, received_time := received_time) FROM ident),
@@ -124,7 +125,9 @@ def registered(sql: str | None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         QUERIES[query.__name__] = query
         if sql is not None:
-            ORACLE_SQL[query.__name__] = LEDGER_SQL + sql
+            # Walks need a recursive definition; the others are planned better without the word.
+            head = LEDGER_SQL.replace("WITH", "WITH RECURSIVE", 1) if " UNION SELECT reach" in sql or "walk w JOIN" in sql else LEDGER_SQL
+            ORACLE_SQL[query.__name__] = head + sql
         return query
 
     return add
@@ -618,7 +621,10 @@ def mixing_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forensics.mixing_shape(source.derive(spark, sf_dir).io)
 
 
-@registered(None)
+@registered(""", mixed AS (SELECT e.txid FROM (SELECT txid, max(n) AS m FROM (SELECT txid, amount, count(*) AS n FROM outs GROUP BY ALL) GROUP BY txid) e JOIN (SELECT txid, count(*) AS n FROM ins GROUP BY txid) i USING (txid) WHERE m >= 3 AND n >= m),
+  near AS (SELECT DISTINCT a.address AS a, b.address AS b FROM ins a JOIN ins b USING (txid) WHERE a.address <> b.address AND txid NOT IN (SELECT txid FROM mixed)),
+  reach AS (SELECT a AS n, a AS r FROM near UNION SELECT reach.n, near.b FROM reach JOIN near ON near.a = reach.r)
+  SELECT n AS node, min(r) AS component FROM reach GROUP BY n""")
 def wallet_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     io = source.derive(spark, sf_dir).io
     return forensics.wallet_clusters(io, forensics.mixing_shape(io))
@@ -671,7 +677,10 @@ def fifo_taint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forensics.ordered_taint(_first_coins(spark, sf_dir), led.io, led.spends)
 
 
-@registered(None)
+@registered(""", two AS (SELECT txid, max(amount) AS big, CAST(arg_max(idx, struct_pack(a := amount, i := idx)) AS INTEGER) AS idx FROM outs GROUP BY txid HAVING count(*) = 2 AND max(amount) * 2 > sum(amount)),
+  step AS (SELECT two.txid, s.spending_txid AS nxt FROM two JOIN spends s ON s.prev_txid = two.txid AND s.prev_vout = two.idx JOIN two t2 ON t2.txid = s.spending_txid),
+  walk AS (SELECT txid, txid AS at, 1 AS length FROM two UNION ALL SELECT w.txid, s.nxt, w.length + 1 FROM walk w JOIN step s ON s.txid = w.at WHERE w.length < 17)
+  SELECT txid, max(length) AS length FROM walk GROUP BY txid""")
 def peel_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
     return forensics.peel_chains(led.io, led.spends)
@@ -731,7 +740,14 @@ def coin_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trace.coin_trail(_first_coins(spark, sf_dir), led.io, led.spends, 2)
 
 
-@registered(None)
+@registered(""", stops AS (SELECT DISTINCT txid FROM ins JOIN tags USING (address)),
+  back AS (SELECT DISTINCT spending_txid AS txid, prev_txid FROM spends),
+  p0 AS (SELECT txid FROM tx WHERE height % 400 = 399),
+  p1 AS (SELECT DISTINCT b.prev_txid AS txid FROM p0 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0)),
+  p2 AS (SELECT DISTINCT b.prev_txid AS txid FROM p1 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0 UNION SELECT txid FROM p1)),
+  p3 AS (SELECT DISTINCT b.prev_txid AS txid FROM p2 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0 UNION SELECT txid FROM p1 UNION SELECT txid FROM p2))
+  SELECT hop, txid, txid NOT IN (SELECT txid FROM back) AS is_coinbase, txid IN (SELECT txid FROM stops) AS is_tagged
+  FROM (SELECT 0 AS hop, txid FROM p0 UNION ALL SELECT 1, txid FROM p1 UNION ALL SELECT 2, txid FROM p2 UNION ALL SELECT 3, txid FROM p3)""")
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
     start = led.tx.filter("height % 400 = 399").select("txid")
