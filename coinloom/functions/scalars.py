@@ -44,6 +44,7 @@ def address_type(address: Column) -> Column:
 
 def normalised_type(script_type: Column, address: Column) -> Column:
     """Type by script where it is known, else by prefix, else `unknown`."""
+    # Script types of the node and the address types they mean.
     return (
         F.when(script_type == "pubkeyhash", "p2pkh")
         .when(script_type == "scripthash", "p2sh")

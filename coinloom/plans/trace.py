@@ -15,6 +15,7 @@ from coinloom.functions.scalars import attribution, category_rank, hop_confidenc
 from coinloom.operators.balances import address_totals, output_counts
 from coinloom.operators.scratch import staged
 
+# Fixed value: addresses with more outputs are not followed.
 HUB_OUTPUTS = 20_000
 
 

@@ -58,6 +58,7 @@ def read_sanctions_xml(spark: SparkSession, path: str) -> DataFrame:
 
 def sanctioned_addresses(entries: DataFrame) -> DataFrame:
     """Addresses of parsed entries; `at` orders the entries."""
+    # How the list writes an address in its remarks, and the name of an entry without one.
     pattern = r"Digital Currency Address\s*-\s*(\w+)\s+([A-Za-z0-9]+)"
     ids = F.transform(
         F.filter("idList.id", lambda i: F.contains(i["idType"], F.lit("Digital Currency Address")) & i["idNumber"].isNotNull()),
