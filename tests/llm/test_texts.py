@@ -101,6 +101,20 @@ def test_passages(spark):
     assert chaining.repeated_passages(documents(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_parts_of_a_chain_that_fails(spark):
+    one, two = prose(60, 31), prose(60, 32)
+    texts = [text(prose(90, 40 + k) + one + prose(45, 50 + k) + two + prose(90, 60 + k)) for k in range(2)]
+    found = chaining.repeated_passages(documents(spark, texts)).collect()
+    assert sorted(r.n_words for r in found) == [60, 60] and all(r.share == 1 for r in found)
+    for r in found:
+        assert texts[1][r.start : r.end].split()[0].strip(".") in (one[0], two[0])
+
+
+def test_far_away_chains_do_not_hide_near_ones():
+    got = chaining.chains([(0, 0, 400), (600, 600, 26), (631, 630, 26)])
+    assert got == [[(0, 0, 400)], [(600, 600, 26), (631, 630, 26)]]
+
+
 def test_chains_take_the_best_order():
     got = chaining.chains([(0, 0, 10), (12, 12, 10), (30, 5, 8), (24, 26, 9)])
     assert got[0] == [(0, 0, 10), (12, 12, 10), (24, 26, 9)] and got[1] == [(30, 5, 8)]
