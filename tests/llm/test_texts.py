@@ -110,6 +110,17 @@ def test_parts_of_a_chain_that_fails(spark):
         assert texts[1][r.start : r.end].split()[0].strip(".") in (one[0], two[0])
 
 
+def test_passages_whose_seeds_were_first_seen_elsewhere(spark):
+    shared = prose(60, 71)
+    parts = [prose(80, 72) + shared[:33] + prose(80, 73), prose(80, 74) + shared[27:] + prose(80, 75)]
+    holders = [prose(80, 80 + k) + shared + prose(80, 90 + k) for k in range(3)]
+    texts = [text(w) for w in parts + holders]
+    found = chaining.repeated_passages(documents(spark, texts)).collect()
+    assert {(r.doc_id, r.other_id) for r in found} <= {(3, 2), (4, 2), (4, 3)}
+    assert {r.doc_id for r in found} == {3, 4} and all(r.n_words >= 60 for r in found)
+    assert len(found) == 2
+
+
 def test_far_away_chains_do_not_hide_near_ones():
     got = chaining.chains([(0, 0, 400), (600, 600, 26), (631, 630, 26)])
     assert got == [[(0, 0, 400)], [(600, 600, 26), (631, 630, 26)]]
