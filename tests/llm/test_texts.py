@@ -121,6 +121,13 @@ def test_passages_whose_seeds_were_first_seen_elsewhere(spark):
     assert len(found) == 2
 
 
+def test_each_passage_of_a_pair_counts_once(spark):
+    line = prose(12, 95)
+    texts = [text(prose(40, 96 + k) + line * 12 + prose(40, 98 + k)) for k in range(2)]
+    found = [tuple(r) for r in chaining.repeated_passages(documents(spark, texts)).collect()]
+    assert found and len({f[:6] for f in found}) == len(found)
+
+
 def test_far_away_chains_do_not_hide_near_ones():
     got = chaining.chains([(0, 0, 400), (600, 600, 26), (631, 630, 26)])
     assert got == [[(0, 0, 400)], [(600, 600, 26), (631, 630, 26)]]
