@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coinloom.llm.pairs import blocked_members, dealt, run_groups
+from coinloom.llm.pairs import blocked_members, dealt, run_groups, sized
 from coinloom.operators.components import connected_components
 from coinloom.operators.scratch import staged
 
@@ -182,7 +182,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     slim = decoded.select("uid", "label", F.explode("lists").alias("direction")).withColumn(
         "bucket", F.xxhash64("label", "direction")
     )
-    met = blocked_members(slim, "bucket", "uid", BLOCK, alone=True)
+    met = blocked_members(sized(slim, "bucket", "uid"), "bucket", "uid", BLOCK, alone=True)
     grouped = dealt(met.drop("label").join(decoded, "uid"), "bucket", "uid")
 
     single = dict(rows.dtypes)["embedding"] == "array<float>"

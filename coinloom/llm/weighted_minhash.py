@@ -2,11 +2,12 @@
 
 1. Document frequencies of all shingles go into a count-min sketch of fixed size.
 2. Every text gets 48 consistent weighted samples and 12 band keys of 4 samples.
-3. In each bucket of a band, candidates are the pairs whose samples agree often enough; first those
-   between a leader and its followers.
-4. Candidates are verified by their exact weighted Jaccard similarity; links give components.
-5. Texts that agree with one of another component get 512 more samples; pairs that these leave open
-   are verified too, as far as they would join components.
+3. In each bucket of a band the first text leads those that agree with it in enough samples; every text
+   is verified against the leader that it agrees with best, by exact weighted Jaccard similarity.
+   These links, one a text at most, give first components.
+4. Texts of a bucket that agree with one of another component meet there with their shingles; they are
+   decided by exact weighted Jaccard similarity inside the group, which hands out only the links that
+   join components, fewer than it has members.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from coinloom.llm.kernels import U64, Words, counted, mixed, shingles
 from coinloom.llm.kernels import pieces as slices
-from coinloom.llm.pairs import blocked_members, dealt, run_groups
+from coinloom.llm.pairs import blocked_members, dealt, run_groups, sized
 from coinloom.operators.components import connected_components
 from coinloom.operators.scratch import staged
 
@@ -32,14 +33,13 @@ CHUNK = 4096
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 # Of 48 samples, how many must agree before a pair is verified: at a similarity of 0.8 fewer than 29
-# agree in 1 of 2,000 pairs.
-AGREE = 29
-# The second look: of 512 samples, from how many on a pair is verified (at 0.8, fewer agree in 1 of
-# 3,000 pairs), and from how many on it stands for the links of its two ends with each other.
-FINE = 512
-FINE_AGREE, FINE_SURE = 379, 441
-# A shingle's weight is its count times 1 to 1 + IDF_GAIN, falling with its document frequency.
-IDF_GAIN = 0.25
+# agree in 1 of 2,000 pairs. Pairs with SURE or more are tried first.
+AGREE, SURE = 29, 42
+# A shingle's weight is its count times 1 (it stands in every document) to 1 + IDF_GAIN (it stands in
+# at most one of RARE documents, or in one).
+IDF_GAIN, RARE = 0.25, 4096
+# Members and bytes of text of a block of a bucket; two blocks meet in a task.
+BLOCK, BLOCK_BYTES = 2048, 8_000_000
 
 
 def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +58,19 @@ class Frequencies:
     weights: np.ndarray
     documents: int
 
+    @staticmethod
+    def of(counts: np.ndarray, n: int) -> Frequencies:
+        """From the counters of n documents: less what other shingles add to a counter on average.
+
+        Weights go by the share of documents that hold a shingle, and so does what the sketch can
+        tell apart; neither changes as the corpus grows.
+        """
+        width = counts.shape[1]
+        others = (counts.sum(1, keepdims=True) - counts) / (width - 1)
+        share = np.clip(counts - others, 1, max(n, 1)) / max(n, 1)
+        fall = -np.log(share) / np.log(max(2, min(n, RARE)))
+        return Frequencies((1 + IDF_GAIN * np.clip(fall, 0, 1)).astype(np.float32), n)
+
     def idf(self, hashes: np.ndarray) -> np.ndarray:
         """1 to 1 + IDF_GAIN. The smaller counter means the larger weight."""
         a, b = _slots(hashes)
@@ -67,7 +80,7 @@ class Frequencies:
 def document_frequencies(texts: DataFrame, text: str = "text") -> Frequencies:
     """Count every shingle of every row once a text; the sketch, not the shingles, reaches the driver.
 
-    Its size is fixed (2 x 2^18 counters, 4 MB); a counter never falls below the true frequency.
+    Its size is fixed: 2 x 2^18 counters, 4 MB.
     """
     width = 1 << SKETCH_BITS
     schema = "part int, salt int, counts binary"
@@ -113,8 +126,7 @@ def document_frequencies(texts: DataFrame, text: str = "text") -> Frequencies:
     n_chunks = 2 * width // CHUNK
     n = int(rows[n_chunks][0]) if rows else 0
     table = np.concatenate([rows[i] for i in range(n_chunks)]).reshape(2, width) if rows else np.zeros((2, width))
-    fall = np.log((n + 1) / (table + 1.0)) / np.log(max(n, 1) + 1)
-    return Frequencies((1 + IDF_GAIN * np.clip(fall, 0, 1)).astype(np.float32), n)
+    return Frequencies.of(table, n)
 
 
 def _random_tables() -> tuple[np.ndarray, ...]:
@@ -123,29 +135,27 @@ def _random_tables() -> tuple[np.ndarray, ...]:
     u = rng.random((5, 1 << 16))
     r = -np.log(u[0] * u[1])
     c = np.log(-np.log(u[2] * u[3]))
-    odd = rng.integers(1, 2**62, SAMPLES + FINE, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+    odd = rng.integers(1, 2**62, SAMPLES, dtype=np.int64).astype(U64) * U64(2) + U64(1)
     return r.astype(np.float32), (1 / r).astype(np.float32), c.astype(np.float32), u[4].astype(np.float32), odd
 
 
 _tables: list[tuple[np.ndarray, ...]] = []
 
 
-def samples(
-    docs: np.ndarray, hashes: np.ndarray, weights: np.ndarray, which: range = range(SAMPLES)
-) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct docs, their samples as uint32, a column for each of `which`); rows must be sorted by doc."""
+def samples(docs: np.ndarray, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct docs, their samples as uint32, a column for each); rows must be sorted by doc."""
     if not _tables:
         _tables.append(_random_tables())
     r, r_inv, ln_c, beta, odd = _tables[0]
     new = np.ones(len(docs), dtype=bool)
     new[1:] = docs[1:] != docs[:-1]
     at = np.flatnonzero(new)
-    out = np.empty((len(at), len(which)), dtype=np.uint32)
+    out = np.empty((len(at), SAMPLES), dtype=np.uint32)
     if not len(at):
         return docs[at], out
     ln_w = np.log(weights).astype(np.float32)
     name = (hashes ^ (hashes >> U64(20))).astype(np.uint32)
-    for column, k in enumerate(which):
+    for k in range(SAMPLES):
         i = ((hashes * odd[k]) >> U64(48)).astype(np.int32)
         rk, bk = r[i], beta[i]
         t = np.floor(ln_w * r_inv[i] + bk)
@@ -154,7 +164,7 @@ def samples(
         order = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32)
         pick = name + t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1)
         best = np.minimum.reduceat((order.astype(U64) << U64(32)) | pick, at)
-        out[:, column] = best.astype(np.uint32)
+        out[:, k] = best.astype(np.uint32)
     return docs[at], out
 
 
@@ -204,126 +214,153 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _as_pairs(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-    out.clear()
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-
-def _grouped(members: DataFrame) -> DataFrame:
-    return dealt(blocked_members(members, "bucket", "node"), "bucket", "node")
+GROUP = ["bucket", "_bi", "_bj"]
 
 
-GROUP = ["bucket", "_bi", "_bj"]
+def _bands(group: pa.RecordBatch) -> tuple[np.ndarray, int]:
+    """The band keys of a group's members, and which band the group belongs to."""
+    bands = group.column("bands").flatten().to_numpy().reshape(group.num_rows, BANDS)
+    return bands, int(np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0])
 
 
 def _leaders(members: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of each group's leaders (smallest node not yet led) and their followers."""
+    """Pairs (a, b), a < b, one for a node b at most: the leader that b agrees with best.
+
+    The leaders of a group are its smallest node, the smallest of those that do not agree with it, and
+    so on.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
 
         def work(group: pa.RecordBatch) -> None:
             node, sig = group.column("node").to_numpy(), _matrix(group.column("sig"))
             while len(node) > 1:
-                near = (sig[1:] == sig[0]).sum(1) >= AGREE
+                same = (sig[1:] == sig[0]).sum(1)
+                near = same >= AGREE
                 if near.any():
-                    out.append((np.full(int(near.sum()), node[0]), node[1:][near]))
+                    out.append((np.full(int(near.sum()), node[0]), node[1:][near], same[near]))
                 node, sig = node[1:][~near], sig[1:][~near]
 
         for _ in run_groups(batches, GROUP, work):
             if out:
-                yield _as_pairs(out)
+                columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
+                out.clear()
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "same"])
 
-    return _grouped(members).mapInArrow(find, "a long, b long").distinct()
+    met = dealt(blocked_members(members, "bucket", "node"), "bucket", "node")
+    best = F.max(F.struct("same", (-F.col("a")).alias("low"))).alias("m")
+    return met.mapInArrow(find, "a long, b long, same long").groupBy("b").agg(best).select((-F.col("m.low")).alias("a"), "b")
 
 
-def _open_nodes(members: DataFrame) -> DataFrame:
-    """Nodes whose samples agree with those of a node of another component in their bucket."""
+def _open_places(members: DataFrame) -> DataFrame:
+    """`bucket, node` of nodes whose samples agree with those of a node of another component in a bucket.
+
+    Two nodes that meet in several bands count in the first of them only.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[np.ndarray] = []
+        out: list[tuple[np.ndarray, np.ndarray]] = []
 
         def work(group: pa.RecordBatch) -> None:
             comp = group.column("component").to_numpy()
             if (comp == comp[0]).all():
                 return
             node, sig = group.column("node").to_numpy(), _matrix(group.column("sig"))
+            bands, here = _bands(group)
             touched = np.zeros(len(node), bool)
             for i in range(len(node) - 1):
                 other = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
                 near = other[(sig[other] == sig[i]).sum(1) >= AGREE]
+                near = near[~(bands[near, :here] == bands[i, :here]).any(1)]
                 touched[near] = True
                 touched[i] |= len(near) > 0
             if touched.any():
-                out.append(node[touched])
+                bucket = group.column("bucket").to_numpy()
+                out.append((bucket[touched], node[touched]))
 
         for _ in run_groups(batches, GROUP, work):
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)))], ["node"])
+                columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
                 out.clear()
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "node"])
 
-    return _grouped(members).mapInArrow(find, "node long").distinct()
-
-
-def _fine(texts: DataFrame, frequencies: Frequencies) -> DataFrame:
-    """`node, fine`: 512 more samples, one byte of each."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequencies)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 4096, 1_000_000):
-                where, hashes, times = _features(part.column("text"))
-                weights = times * shared.value.idf(hashes)
-                have, sig = samples(where, hashes, weights, range(SAMPLES, SAMPLES + FINE))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node").take(pa.array(have)), pa.array([x.tobytes() for x in _short(sig)], pa.binary())],
-                    ["node", "fine"],
-                )
+    met = dealt(blocked_members(members, "bucket", "node"), "bucket", "node")
+    return met.mapInArrow(find, "bucket long, node long").distinct()
 
-    return texts.select("node", "text").mapInArrow(sign, "node long, fine binary")
 
+def _decided(groups: DataFrame, frequencies: Frequencies, threshold: float) -> DataFrame:
+    """(a, b) of links that join different components, decided inside the groups by exact similarity.
 
-def _bridges(members: DataFrame) -> DataFrame:
-    """Pairs of different components that the 512 samples leave open.
-
-    Pairs that are sure to link join their ends first; of the others, those are kept whose ends are
-    still apart. A pair that meets in several bands counts in the first of them only.
+    A group of m nodes gives fewer than m links: pairs that links found so far have joined are passed
+    over, and so are pairs that meet in an earlier band or whose total weights lie too far apart.
     """
+    shared = groups.sparkSession.sparkContext.broadcast(frequencies)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[tuple[int, int]] = []
 
         def work(group: pa.RecordBatch) -> None:
             comp = group.column("component").to_numpy()
             if (comp == comp[0]).all():
                 return
-            node, sig = group.column("node").to_numpy(), _matrix(group.column("fine"))
-            _, part = np.unique(comp, return_inverse=True)
-            bands = group.column("bands").flatten().to_numpy().reshape(len(node), BANDS)
-            here = int(np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0])
-            maybe: list[tuple[int, np.ndarray]] = []
-            for i in range(len(node) - 1):
-                other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
-                same = (sig[other] == sig[i]).sum(1)
-                for j in other[same >= FINE_SURE]:
-                    if part[i] != part[j]:
-                        out.append((node[i : i + 1], node[j : j + 1]))
-                        part[part == part[j]] = part[i]
-                near = other[(same >= FINE_AGREE) & (same < FINE_SURE)]
-                near = near[~(bands[near, :here] == bands[i, :here]).any(1)]
-                if len(near):
-                    maybe.append((i, near))
-            for i, near in maybe:
-                apart = near[part[near] != part[i]]
-                if len(apart):
-                    out.append((np.full(len(apart), node[i]), node[apart]))
+            node, sig = group.column("node").to_numpy(), _matrix(group.column("sig"))
+            part = np.unique(comp, return_inverse=True)[1]
+            bands, here = _bands(group)
+            sets = ShingleSets(group.column("text"), shared.value)
+            for low, high in ((SURE, SAMPLES + 1), (AGREE, SURE)):
+                for i in range(len(node) - 1):
+                    other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                    same = (sig[other] == sig[i]).sum(1)
+                    near = (same >= low) & (same < high)
+                    other, same = other[near], same[near]
+                    light, heavy = np.minimum(sets.total[i], sets.total[other]), np.maximum(sets.total[i], sets.total[other])
+                    fits = (light >= (threshold - 1e-6) * heavy) & ~(bands[other, :here] == bands[i, :here]).any(1)
+                    other = other[fits][np.argsort(-same[fits], kind="stable")]
+                    while len(other):  # the likeliest first; what they join needs no further look
+                        tried, other = other[:32], other[32:]
+                        for j in tried[sets.similarity(i, tried) >= threshold - 1e-9]:
+                            if part[j] != part[i]:
+                                out.append((int(node[i]), int(node[j])))
+                                part[part == part[j]] = part[i]
+                        other = other[part[other] != part[i]]
 
         for _ in run_groups(batches, GROUP, work):
             if out:
-                yield _as_pairs(out)
-
-    return _grouped(members).mapInArrow(find, "a long, b long").distinct()
+                a, b = np.array(out, np.int64).T
+                out.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return groups.mapInArrow(find, "a long, b long").distinct()
+
+
+class ShingleSets:
+    """Weighted shingle sets of a group's texts: sorted 48-bit hashes and weights, text after text."""
+
+    def __init__(self, texts: pa.Array, frequencies: Frequencies) -> None:
+        hashes, weights, counts = [], [], []
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            where, h, times = _features(part.column("text"))
+            hashes.append(h)
+            weights.append(times * frequencies.idf(h).astype(np.float64))
+            counts.append(np.bincount(where, minlength=part.num_rows))
+        self.hashes, self.weights, self.count = (np.concatenate(x) for x in (hashes, weights, counts))
+        self.first = np.cumsum(self.count) - self.count
+        owner = np.repeat(np.arange(len(self.count)), self.count)
+        self.total = np.bincount(owner, self.weights, minlength=len(self.count))
+
+    def similarity(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of one text with others."""
+        own = slice(self.first[one], self.first[one] + self.count[one])
+        h, w, n = self.hashes[own], self.weights[own], self.count[others]
+        if not len(h):
+            return np.zeros(len(others))
+        owner = np.repeat(np.arange(len(others)), n)
+        row = np.arange(n.sum()) + np.repeat(self.first[others] - (np.cumsum(n) - n), n)
+        at = np.minimum(np.searchsorted(h, self.hashes[row]), len(h) - 1)
+        low = np.where(h[at] == self.hashes[row], np.minimum(w[at], self.weights[row]), 0.0)
+        low = np.bincount(owner, low, minlength=len(others))
+        return low / (self.total[one] + self.total[others] - low)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, frequencies: Frequencies, threshold: float, each: int = 64) -> DataFrame:
@@ -405,26 +442,26 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
         .select("print", F.coalesce(F.col("low"), nameless).cast("long").alias("node"), "bands", "sig")
     )
-    keys = nodes.filter("bands is not null").select("node", "print", F.explode("bands").alias("bucket"), "sig")
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("_m")).filter("_m > 1").select("bucket")
-    members = staged(keys.join(shared, "bucket").select("bucket", "node", "print", "sig"))
-    wanted = members.select("print", "node").distinct()
+    keys = nodes.filter("bands is not null").select("node", F.explode("bands").alias("bucket"))
+    members = staged(sized(keys, "bucket", "node"))
+    wanted = members.select("node").distinct()
+    near = staged(nodes.join(wanted, "node", "left_semi"))
     named = base.select(F.coalesce(F.col("doc_id"), nameless).cast("long").alias("node"), F.col("print").alias("p"), "text")
     texts = staged(
-        named.join(wanted, "node").filter("p = print").groupBy("node").agg(F.first("text").alias("text"))
+        named.join(near.select("node", "print"), "node").filter("p = print").groupBy("node").agg(F.first("text").alias("text"))
     )
-    first = staged(_leaders(members.select("bucket", "node", "sig")))
-    links = staged(_verified(first, texts, frequencies, threshold))
+    links = staged(_verified(staged(_leaders(members.join(near.select("node", "sig"), "node"))), texts, frequencies, threshold))
     found = staged(connected_components(links, "a", "b"))
-    placed = (
-        members.join(found, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .select("bucket", "node", "sig", "component")
+    marked = staged(
+        near.join(found, "node", "left").select("node", "sig", "bands", F.coalesce("component", "node").alias("component"))
+    )
+    still_open = staged(_open_places(members.join(marked, "node")))
+    long = texts.select("node", F.octet_length("text").alias("size"))
+    met = blocked_members(
+        sized(still_open.join(long, "node"), "bucket", "node", "size"), "bucket", "node", BLOCK, most=BLOCK_BYTES
     )
-    still_open = staged(_open_nodes(placed))
-    fine = staged(_fine(texts.join(still_open, "node"), frequencies)).join(nodes.select("node", "bands"), "node")
-    second = _bridges(placed.drop("sig").join(fine, "node")).join(first, ["a", "b"], "left_anti")
-    more = staged(_verified(staged(second), texts, frequencies, threshold))
+    groups = dealt(met.join(marked, "node").join(texts, "node"), "bucket", "node")
+    more = staged(_decided(groups, frequencies, threshold))
     whole = connected_components(links.unionByName(more), "a", "b")
     classes = (
         nodes.select("print", "node")
