@@ -92,8 +92,7 @@ def test_passages(spark):
     docs[2][5:5], docs[7][9:9] = prose(30, 3), prose(30, 3)  # too short
     texts = [text(d) for d in docs] + [None, "", text(docs[4])]
     found = chaining.repeated_passages(documents(spark, texts)).collect()
-    # which of the first two the third is joined to depends on where the table is cut
-    assert {(r.doc_id, r.other_id) for r in found} - {(5, 0), (5, 3)} == {(3, 0), (6, 1), (10, 4)}
+    assert {(r.doc_id, r.other_id) for r in found} == {(3, 0), (5, 0), (6, 1), (10, 4)}
     assert len(found) == 4
     for r in found:
         if r.doc_id in (3, 5):
@@ -116,8 +115,7 @@ def test_passages_whose_seeds_were_first_seen_elsewhere(spark):
     holders = [prose(80, 80 + k) + shared + prose(80, 90 + k) for k in range(3)]
     texts = [text(w) for w in parts + holders]
     found = chaining.repeated_passages(documents(spark, texts)).collect()
-    assert {(r.doc_id, r.other_id) for r in found} <= {(3, 2), (4, 2), (4, 3)}
-    assert {r.doc_id for r in found} == {3, 4} and all(r.n_words >= 60 for r in found)
+    assert {(r.doc_id, r.other_id) for r in found} == {(3, 2), (4, 2)} and all(r.n_words >= 60 for r in found)
     assert len(found) == 2
 
 
