@@ -9,6 +9,8 @@ TURN_OPEN = "<|im_start|>"
 TURN_CLOSE = "<|im_end|>\n"
 # A backslash inside a text becomes \b; every control string is broken behind its first character by \x.
 _CONTROL = r"(<(?=\|im_start\|>|\|im_end\|>|/?s>|</?SYS>>)|\[(?=/?INST\]))"
+# Tokens of a turn's two marks, as `count_tokens` counts them.
+MARKS = 10
 # Turns whose numbers lie in one stretch of this length are summed together first.
 STRETCH = 256
 
@@ -29,53 +31,76 @@ def count_tokens(text: Column) -> Column:
     )
 
 
+def _role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\n"))
+
+
 def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256) -> DataFrame:
     """Format the conversations in `turns` (conv_id, turn, role, text) as training windows.
 
     Returns one row per window: `conv_id, window, n_new, n_repeated, formatted, loss`, where `loss`
     is an array of (start, length) in code points of `formatted` over the texts that are trained on.
 
-    A turn goes to the window in which its start falls when the running token count of its
-    conversation is cut at equal strides; a stride is half of what the budget leaves after the
-    system turn's and the history's share, so windows stay inside the budget unless one turn is
-    longer than a stride. Each window begins with the conversation's system turn (its first turn, if
-    its role is `system`), then repeats the turns before it that fit in `history` tokens, then has
-    its own turns. Only own assistant turns are under the loss: a repeated target is masked.
+    A window is the conversation's system turn (its first turn, if its role is `system`), then the turns
+    before its own that fit in `history` tokens, then its own turns. Tokens are those of `count_tokens`,
+    the template's marks and the role included. Turns of more than a quarter of what the budget leaves
+    beside the history have a window of their own. The others go by where they start: the running token
+    count of the conversation, without its system turn, is cut at equal strides, and a stride is what
+    the budget leaves beside the history, the system turn and one such quarter. So every window is
+    within the budget but those of a single turn that does not fit with the system turn and the
+    history. Only own assistant turns are under the loss: a repeated target is masked.
 
     Turns are ordered by turn (null first), role, text; repeated rows are separate turns. A null
     role or text counts as empty. Rows with a null conv_id form one conversation. Extra columns are
     ignored, an empty table gives an empty table. Long conversations are spread: texts only meet in
     windows; one conversation's window numbers, not its texts, pass through one task.
     """
-    stride = max(1, (budget - history) // 2)
-    rows = turns.select(
-        "conv_id",
-        F.coalesce((F.col("turn") / STRETCH).cast("long"), F.lit(-1)).alias("part"),
-        F.col("turn"),
-        F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ).withColumn("tokens", count_tokens(F.col("text")))
-    parts = rows.groupBy("conv_id", "part").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    quarter = max(1, (budget - history) // 4)
+    role, body = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
+    rows = (
+        turns.select(
+            "conv_id",
+            F.coalesce(F.expr(f"turn div {STRETCH}"), F.lit(-(2**62))).alias("part"),
+            F.col("turn").cast("long").alias("turn"),
+            role.alias("role"),
+            body.alias("text"),
+        )
+        .withColumn("tokens", F.lit(MARKS) + count_tokens(_role(F.col("role"))) + count_tokens(escape(F.col("text"))))
+        .withColumn("wide", (F.col("tokens") > quarter).cast("int"))
+    )
+    place = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"), F.col("role").alias("role"))
+    systems = F.when(F.col("role") == "system", F.struct(F.col("turn").isNull(), F.bitwise_not("turn"), "tokens", "wide"))
+    parts = rows.groupBy("conv_id", "part").agg(
+        F.sum("tokens").alias("t"), F.count("*").alias("n"), F.sum("wide").alias("w"), F.min(place).alias("m"), F.max(systems).alias("s")
+    )
+    by_part = Window.partitionBy("conv_id").orderBy("part")
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    led = F.first("m.role").over(by_part) == "system"
     parts = parts.select(
         F.col("conv_id").alias("c0"),
         F.col("part").alias("p0"),
-        F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"),
+        *(F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"{k}0") for k in "tnw"),
+        F.when(led, F.first("s.tokens").over(by_part)).otherwise(0).alias("system"),
+        F.when(led, F.first("s.wide").over(by_part)).otherwise(0).alias("system_wide"),
     )
     inside = Window.partitionBy("conv_id", "part").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    stride = F.greatest(F.lit(1), F.lit(budget - history - quarter) - F.col("system"))
     placed = (
-        rows.withColumn("ended", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        rows.withColumn("ended", F.sum("tokens").over(running))
         .withColumn("nth", F.row_number().over(inside))
+        .withColumn("wides", F.sum("wide").over(running))
         .join(parts, F.col("conv_id").eqNullSafe(F.col("c0")) & (F.col("part") == F.col("p0")))
         .select(
             "conv_id",
             (F.col("n0") + F.col("nth") - 1).alias("pos"),
-            (F.col("t0") + F.col("ended") - F.col("tokens")).alias("start"),
+            F.greatest(F.lit(0), F.col("t0") + F.col("ended") - F.col("tokens") - F.col("system")).alias("start"),
+            F.greatest(F.lit(0), 2 * (F.col("w0") + F.col("wides") - F.col("system_wide")) - F.col("wide")).alias("step"),
+            stride.alias("stride"),
             "role",
             "text",
         )
-        .withColumn("cut", F.expr(f"start div {stride}"))
+        .withColumn("cut", F.struct(F.expr("start div stride").alias("at"), "step"))
     )
     by_conv = Window.partitionBy("conv_id").orderBy("cut")
     windows = (
@@ -106,7 +131,7 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256) ->
         .select("conv_id", "pos", "role", "text", F.explode(copies).alias("to"))
         .select("conv_id", "to.window", "to.again", "pos", "role", "text")
     )
-    head = F.concat(F.lit(TURN_OPEN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
+    head = F.concat(F.lit(TURN_OPEN), _role(F.col("role")), F.lit("\n"))
     piece = F.struct(
         "pos",
         "again",

@@ -47,16 +47,24 @@ CHAT = f"""
 WITH base AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-tok AS (SELECT *, length(regexp_replace(text, {_TOKENS}, 'x', 'g')) - length(regexp_replace(text, {_TOKENS}, '', 'g')) AS tokens FROM base),
+shown AS (SELECT *, replace({_BROKEN.format("role")}, chr(10), chr(92) || 'n') AS r, {_BROKEN.format("text")} AS x FROM base),
+tok AS (
+  SELECT *, 10 + length(regexp_replace(r, {_TOKENS}, 'x', 'g')) - length(regexp_replace(r, {_TOKENS}, '', 'g'))
+         + length(regexp_replace(x, {_TOKENS}, 'x', 'g')) - length(regexp_replace(x, {_TOKENS}, '', 'g')) AS tokens FROM shown),
 seq AS (
-  SELECT *, row_number() OVER w - 1 AS pos, sum(tokens) OVER w - tokens AS start FROM tok
+  SELECT *, row_number() OVER w - 1 AS pos, sum(tokens) OVER w - tokens AS begun, sum((tokens > 448)::INT) OVER w AS wides,
+         first_value(role) OVER w AS r0, first_value(turn) OVER w AS t0 FROM tok
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
-cutd AS (SELECT *, start // 896 AS cut FROM seq),
+sys AS (
+  SELECT *, coalesce(max(tokens) FILTER (WHERE r0 = 'system' AND role = 'system' AND turn IS NOT DISTINCT FROM t0) OVER (PARTITION BY conv_id), 0) AS s FROM seq),
+lined AS (
+  SELECT *, greatest(0, begun - s) AS start, greatest(0, 2 * (wides - (s > 448)::INT) - (tokens > 448)::INT) AS step, greatest(1, 1344 - s) AS stride FROM sys),
+cutd AS (SELECT *, {{'at': start // stride, 'step': step}} AS cut FROM lined),
 win AS (
   SELECT conv_id AS c1, cut AS w1, lead(min(start)) OVER (PARTITION BY conv_id ORDER BY cut) AS nf, count(*) OVER (PARTITION BY conv_id) AS nw
   FROM cutd GROUP BY conv_id, cut),
 each AS (
-  SELECT s.*, 12 + length(replace({_BROKEN.format("role")}, chr(10), chr(92) || 'n')) + 1 + length({_BROKEN.format("text")}) + 11 AS chars,
+  SELECT s.*, 12 + length(r) + 1 + length(x) + 11 AS chars,
          CASE WHEN pos = 0 AND role = 'system' THEN nw WHEN nf - start <= 256 THEN 2 ELSE 1 END AS times
   FROM cutd s JOIN win ON c1 IS NOT DISTINCT FROM conv_id AND w1 = cut)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
