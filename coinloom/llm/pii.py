@@ -166,22 +166,23 @@ def spans_text(spans: Column) -> Column:
 
 
 def mask(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in angle brackets; of overlapping spans the first counts.
+    """The text with every span replaced by its kind in angle brackets; spans that overlap are replaced as one,
+    by the kind of the first (of those that start together, the longest).
 
     Null texts stay null.
     """
     ordered = F.array_sort(
-        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")))
     )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         kept = F.substr(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(s["start"] < acc["at"], acc).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(acc["out"], F.array(kept, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))).alias("out"),
-            )
+        return F.struct(
+            F.greatest(acc["at"], -s["end"]).alias("at"),
+            F.when(s["start"] < acc["at"], acc["out"])
+            .otherwise(F.concat(acc["out"], F.array(kept, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))))
+            .alias("out"),
         )
 
     masked = F.aggregate(
@@ -190,6 +191,30 @@ def mask(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, masked).otherwise(text)
 
 
+def mask_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
+    """The rows of `docs` with personal data in `text` masked, and `n_chars` (if there) following the text.
+
+    What is masked may have kept a match of another kind from being valid (a number that ran on into
+    it), so the rest is searched again, `rounds` times in all. All other columns stay as they are,
+    whatever their names.
+    """
+    text, chars = (docs.columns.index(k) if k in docs.columns else None for k in ("text", "n_chars"))
+    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    work = placed.withColumn("text", F.col(f"c{text}")).withColumn("hits", F.lit(0))
+    for _ in range(rounds):
+        work = (
+            work.withColumn("found", find_pii(F.col("text")))
+            .withColumn("text", mask(F.col("text"), F.col("found")))
+            .withColumn("hits", F.col("hits") + F.size("found"))
+        )
+    columns = [F.col(c) for c in placed.columns]
+    columns[text] = F.col("text")
+    if chars is not None:
+        kind = docs.schema[chars].dataType
+        columns[chars] = F.when(F.col("hits") > 0, F.length("text").cast(kind)).otherwise(F.col(f"c{chars}"))
+    return work.select(columns).toDF(*docs.columns)
+
+
 def pii_documents(docs: DataFrame) -> DataFrame:
     """Spans and base counts of every document: `doc_id, n_*, base_sha256, spans`."""
     found = docs.select(F.col("doc_id"), find_pii(F.col("text")).alias("_found"))

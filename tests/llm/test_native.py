@@ -1,6 +1,7 @@
 """PII, sharding and chat against plain Python, with nulls, ties, long texts and empty tables."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -74,6 +75,10 @@ def test_pii_mask(spark):
     df = docs_of(spark, ["to é@x a@b.co, +1 (234) 555-0100!", None, "none"]).withColumn("f", pii.find_pii(F.col("text")))
     got = [r[0] for r in df.orderBy("doc_id").select(pii.mask(F.col("text"), F.col("f"))).collect()]
     assert got == ["to é@x <EMAIL>, <PHONE>!", None, "none"]
+    texts = ["mail 10.0.0.1@host.com", "192.168.1.10-admin.bob@example.com", "x +1 10.0.0.1 555 0100 y"]
+    df = docs_of(spark, texts).withColumn("f", pii.find_pii(F.col("text")))
+    got = [r[0] for r in df.orderBy("doc_id").select(pii.mask(F.col("text"), F.col("f"))).collect()]
+    assert got[:2] == ["mail <EMAIL>", "<EMAIL>"] and not re.search(r"\d", got[2])
     assert pii.pii_documents(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
@@ -126,7 +131,7 @@ def test_chat_reads_back(spark, budget, history):
 def test_chat_windows(spark):
     rows = [(1, 0, "system", "s s")] + [(1, i, "user" if i % 2 else "assistant", f"w{i} x y z") for i in range(1, 600)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    windows = chat.format_windows(turns, budget=64, history=8).orderBy("window").collect()
+    windows = chat.format_windows(turns, budget=120, history=30).orderBy("window").collect()
     assert len(windows) > 20
     for w in windows:
         assert w.formatted.startswith("<|im_start|>system\ns s<|im_end|>\n") and w.formatted.count("<|im_start|>") == w.n_new + w.n_repeated
@@ -136,6 +141,56 @@ def test_chat_windows(spark):
     assert chat.format_windows(turns.limit(0)).count() == 0
 
 
+def n_tokens(text):
+    return len(re.findall(r"\w+|[^\w\s]", text, re.A))
+
+
+def talks(budget, history, seed):
+    """Conversations of turns that fit beside their system turn and the history, some of them only just."""
+    rng, rows = random.Random(seed), []
+    for c in range(40):
+        system = rng.choice([None, 0, 5, (budget - history) // 2, budget - history - 60])
+        turn = rng.choice([0, -700, -3])
+        if system is not None:
+            rows.append((c, rng.choice([turn, None]), "system", " ".join(["s"] * system)))
+        room = budget - history - 11 - (0 if system is None else 11 + system)
+        for _ in range(rng.randint(1, 30)):
+            turn += rng.randint(1, 300)
+            size = rng.choice([0, 1, rng.randint(0, max(0, room)), rng.randint(0, max(0, room // 4)), max(0, room)])
+            text = " ".join(rng.choice(["w", "<s>", "a\\b"]) if size < 50 else "w" for _ in range(size))
+            while n_tokens(chat_escaped(text)) > max(0, room):
+                text = text[: len(text) // 2]
+            rows.append((c, turn, rng.choice(["user", "assistant"]), text))
+    return rows
+
+
+def chat_escaped(text):
+    text = text.replace("\\", "\\b")
+    return re.sub(r"(<(?=\|im_start\|>|\|im_end\|>|/?s>|</?SYS>>)|\[(?=/?INST\]))", r"\1\\x", text)
+
+
+@pytest.mark.parametrize("budget, history", [(2048, 256), (400, 40), (150, 30), (300, 0)])
+def test_chat_windows_stay_within_the_budget(spark, budget, history):
+    rows = talks(budget, history, budget)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(turns, budget, history).collect()
+    used = [n_tokens(w.formatted) for w in windows]
+    assert max(used) <= budget
+    assert sum(w.n_new for w in windows) == len(rows)
+    digests = {r.conv_id: r for r in chat.conversation_digest(chat.format_windows(turns, budget, history)).collect()}
+    for c in digests:
+        own = sorted(((t is not None, t or 0, r, x) for k, t, r, x in rows if k == c))
+        said = "".join(f"{r}\n{x}\n" for _, _, r, x in own)
+        assert digests[c].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_null_turns_come_first(spark):
+    rows = [(1, None, "user", "first"), (1, -10_000, "user", "second"), (1, -1, "user", "third"), (1, 3, "user", "fourth")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (w,) = chat.format_windows(turns).collect()
+    assert [w.formatted.index(x) for x in ("first", "second", "third", "fourth")] == sorted(w.formatted.index(x) for x in ("first", "second", "third", "fourth"))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_rows_as_sql(spark, small, name):
     assert oracle.difference(QUERIES[name](spark, small), oracle.connect(small), ORACLE_SQL[name]) is None

@@ -1,5 +1,7 @@
 """The pipeline's stages against their operators' own decisions, one stage after another."""
 
+import random
+
 import corpus_pipeline
 import public_tokenizers
 import sentencepiece
@@ -42,3 +44,18 @@ def test_rows_without_ids(spark, small):
 
 def test_registered(spark, small):
     assert QUERIES["pipeline"](spark, small).count() > 0
+
+
+def test_no_base_span_is_left_in_a_masked_text(spark, small):
+    """Adjacent, nested and overlapping kinds, and numbers that only what is masked kept from being valid."""
+    parts = ["10.0.0.1", "a.b@c.de", "4111 1111 1111 1111", "+1 (234) 555-0100", "192.168.1.10-admin@example.com", "10.0.0.1@host.com", "7", "-", "x", "é", "1.2.3.4.5"]
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "-", "."]) for _ in range(rng.randint(1, 8))) for _ in range(1500)]
+    texts += ["10.0.0.1 4111 1111 1111 1111", "mail 10.0.0.1@host.com", "192.168.1.10-admin.bob@example.com"]
+    schema = "doc_id long, text string, lang string, found string, n_chars int, hits string"
+    docs = spark.createDataFrame([(i, t, "en", "f", -1, None) for i, t in enumerate(texts)], schema)
+    got = corpus_pipeline.mask_personal_data(spark, docs, small)
+    assert got.schema == docs.schema
+    for r in got.collect():
+        assert base_spans(r.text) == [] and r.found == "f" and r.hits is None, texts[r.doc_id]
+        assert (r.n_chars == -1) if r.text == texts[r.doc_id] else (r.n_chars == len(r.text))
