@@ -48,11 +48,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars follows the text."""
-    found = docs.withColumn("_found", pii.find_pii(F.col("text")))
-    masked = found.withColumn("text", pii.mask(F.col("text"), F.col("_found")))
-    return masked.withColumn(
-        "n_chars", F.when(F.size("_found") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    ).select(docs.columns)
+    return pii.mask_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
