@@ -19,14 +19,18 @@ from pyspark.sql import functions as F
 from coinloom.llm.common import filter_rows
 from coinloom.llm.kernels import _BYTE, U64, Words, _power, mixed
 from coinloom.llm.kernels import pieces as slices
+from coinloom.operators.scratch import staged
 
 Q = 10
 WINDOW, STEP = 96, 48
 # Edits allowed in a window, as a share of its bytes.
 BUDGET = 0.08
-# Benchmark text that is sent to the executors at once; a larger benchmark goes in several blocks.
-BLOCK_BYTES = 8_000_000
+# Benchmark text whose index is sent to the executors at once; a larger benchmark goes in several blocks. An
+# index takes about 30 times its text: 13 bytes for each q-gram of two overlapping windows, and the windows.
+BLOCK_BYTES = 2_000_000
 _SIEVE_BITS = 22
+# Hits of q-grams that are counted at once; texts with more are searched stretch by stretch.
+MOST_HITS = 2_000_000
 
 
 class Squeezed:
@@ -103,7 +107,7 @@ class Index:
         sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
         sieve[(grams >> U64(64 - _SIEVE_BITS)).astype(np.int64)] = True
         return Index(
-            np.array(items, dtype=np.int64), windows, grams[order], owner[order], at[order], sieve, edits,
+            np.array(items, dtype=np.int64), windows, grams[order], owner[order].astype(np.int32), at[order].astype(np.uint8), sieve, edits,
             np.maximum(1, size - Q + 1 - edits * Q),
         )
 
@@ -114,16 +118,52 @@ class Index:
         maybe = np.flatnonzero(self.sieve[(hashes >> U64(64 - _SIEVE_BITS)).astype(np.int64)])
         start, hashes = start[maybe], hashes[maybe]
         low, high = np.searchsorted(self.grams, hashes), np.searchsorted(self.grams, hashes, side="right")
-        many = high - low
-        row = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        place, owner = np.repeat(start, many), self.owner[row]
+        hit = np.flatnonzero(high > low)
+        start, low, many = start[hit], low[hit], (high - low)[hit]
+        out: dict[tuple[int, int, int], tuple[int, int, int, int, int]] = {}
+        sums = np.concatenate([[0], np.cumsum(many)])
+        i = 0
+        while i < len(start):
+            # As many places as hold MOST_HITS, but 512 at least; the next stretch overlaps by more than a window.
+            j = max(int(np.searchsorted(sums, sums[i] + MOST_HITS, side="right")) - 1, int(np.searchsorted(start, start[i] + 512)))
+            j = min(j, len(start))
+            for first in range(0, int(sums[j] - sums[i]), MOST_HITS) if sums[j] - sums[i] > MOST_HITS else (None,):
+                owners = None
+                if first is not None:
+                    parts = -(-int(sums[j] - sums[i]) // MOST_HITS)
+                    p = first // MOST_HITS
+                    owners = (p * len(self.windows) // parts, (p + 1) * len(self.windows) // parts)
+                self._found(s, start[i:j], low[i:j], many[i:j], owners, out)
+            if j == len(start):
+                break
+            i = max(i + 1, int(np.searchsorted(start, start[j] - 2 * WINDOW)))
+        return list(out.values())
+
+    def _found(
+        self, s: Squeezed, start: np.ndarray, low: np.ndarray, many: np.ndarray, owners: tuple[int, int] | None, out: dict
+    ) -> None:
+        """Windows (of a range of them) that hits at these places vote for and alignment confirms, into `out`."""
+        if owners is None:
+            row = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            place, owner = np.repeat(start, many), self.owner[row].astype(np.int64)
+        else:
+            rows, places = [], []
+            for a in range(0, len(start), 4096):  # hits of other windows are never held for more than a few places
+                part = slice(a, a + 4096)
+                for p, x, n in zip(start[part].tolist(), low[part].tolist(), many[part].tolist(), strict=True):
+                    own = np.flatnonzero((self.owner[x : x + n] >= owners[0]) & (self.owner[x : x + n] < owners[1])) + x
+                    rows.append(own)
+                    places.append(np.full(len(own), p))
+            row, place = np.concatenate(rows), np.concatenate(places)
+            owner = self.owner[row].astype(np.int64)
         if not len(place):
-            return []
+            return
+        gram_at = self.at[row].astype(np.int64)
         k = np.maximum(self.edits[owner], 1)
         # The diagonal, counted over the whole batch: a shift of texts against each other keeps them apart.
-        band = (place - self.at[row] + WINDOW) // k
+        band = (place - gram_at + WINDOW) // k
         counted_in = np.concatenate([band, band - 1])  # bands of 2k diagonals, overlapping by k
-        who, gram, text = np.tile(owner, 2), np.tile(self.at[row], 2), np.tile(s.doc[place], 2)
+        who, gram, text = np.tile(owner, 2), np.tile(gram_at, 2), np.tile(s.doc[place], 2)
         spot = np.tile(place, 2)
         order = np.lexsort((gram, counted_in, who, text))
         key = np.stack([text[order], who[order], counted_in[order]])
@@ -134,7 +174,6 @@ class Index:
         distinct = fresh.copy()
         distinct[1:] |= grams_in[1:] != grams_in[:-1]
         votes = np.add.reduceat(distinct.astype(np.int64), heads)
-        out: dict[tuple[int, int, int], tuple[int, int, int, int, int]] = {}
         for h in heads[votes >= self.need[key[1, heads]]]:
             t, w, b = (int(x) for x in key[:, h])
             found = self._align(s, t, w, b, int(spot[order[h]] - grams_in[h]))
@@ -146,7 +185,6 @@ class Index:
                 best = out.get((t, w, chars(a) // WINDOW))
                 if best is None or e < best[4]:
                     out[t, w, chars(a) // WINDOW] = (t, int(self.items[w]), chars(a), chars(z), e)
-        return list(out.values())
 
     def _align(self, s: Squeezed, text: int, window: int, band: int, diagonal: int) -> tuple[int, int, int] | None:
         """(start, end, edits) of the best stretch of the text within the band, if its edits fit the budget."""
@@ -184,14 +222,18 @@ class Index:
         return (a, z, int(row[best])) if first <= a < z <= last else None
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
-    """Indexes of blocks of the benchmark, each of about `block_bytes` of text at most."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[Index, bool]]:
+    """Indexes of blocks of the benchmark, each of about `block_bytes` of text at most, and whether it is the last.
+
+    One block at a time is on the driver. Items go to blocks by a hash, twice as many as would fit
+    exactly; an item longer than a block is a block's whole share.
+    """
     rows = benchmark.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = 1 if total <= block_bytes else 2 * -(-total // block_bytes)
     for b in range(blocks):
         got = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        yield Index.build([r["item_id"] for r in got], [r["text"] for r in got])
+        yield Index.build([r["item_id"] for r in got], [r["text"] for r in got]), b == blocks - 1
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -202,13 +244,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
     texts and items of fewer than ten bytes of words never match. Rows of equal doc_id are separate
     rows. Every document is searched against the whole benchmark, one block of it after another.
     """
-    spark = docs.sparkSession
-    parts = [
-        _scan(docs, spark.sparkContext.broadcast(index)) for index in _blocks(benchmark, block_bytes)
-    ]
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+    found = None
+    for index, last in _blocks(benchmark, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        part = _scan(docs, shared)
+        if found is None and last:
+            return part
+        part = staged(part)
+        shared.unpersist()
+        found = part if found is None else found.unionByName(part)
     return found
 
 
@@ -256,6 +300,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
 
         return keep
 
-    for index in _blocks(benchmark, block_bytes):
-        docs = filter_rows(docs, "text", clean(docs.sparkSession.sparkContext.broadcast(index)))
+    for k, (index, last) in enumerate(_blocks(benchmark, block_bytes)):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = filter_rows(docs, "text", clean(shared))
+        if k or not last:
+            docs = staged(docs)
+            shared.unpersist()
     return docs
