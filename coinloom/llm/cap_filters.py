@@ -20,10 +20,13 @@ from coinloom.llm.pairs import blocked_members, dealt, run_groups, sized
 from coinloom.operators.components import connected_components
 from coinloom.operators.scratch import staged
 
-# Directions that a vector exceeds, on average, and vectors of one label under one direction.
-LIST, CROWD = 32, 16
-# A vector with fewer directions than this above the threshold gets its best ones, so many.
-LEAST = 24
+# Directions that a vector exceeds, on average: so many for each factor of ten in the largest label above 1,000
+# vectors, and for 10,000 at least. Caps shrink as labels grow, so that CROWD vectors of one lie under a direction;
+# the longer lists keep the chance that a link shares no direction alike.
+LIST, CROWD = 16, 256
+# A vector with fewer directions above the threshold than this share of the list gets its best ones, so many.
+LEAST = 0.75
+PROBES = 100
 BLOCK = 2048
 
 
@@ -33,31 +36,39 @@ class ProductCode:
     first: np.ndarray
     second: np.ndarray
     threshold: float
+    least: int
 
     @staticmethod
     def fitted(dim: int, vectors: int) -> ProductCode:
         """A code for labels of `vectors` members at most: the more vectors, the more and the smaller caps.
 
-        The threshold is set so that random unit vectors exceed LIST directions on average.
+        The threshold is set so that random unit vectors exceed a list's length of directions on
+        average. It is found from PROBES of them by counting, which takes about as many steps as a half
+        has codewords: the square root of `vectors`.
         """
         rng = np.random.default_rng(1729)
         half = max(1, (dim + 1) // 2)
-        width = int(np.ceil(np.sqrt(LIST * max(8.0, vectors / CROWD))))
+        size = int(np.ceil(LIST * max(1.0, np.log10(max(vectors, 1)) - 3)))
+        width = int(np.ceil(np.sqrt(size * max(8.0, vectors / CROWD))))
         unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
         rotation = np.linalg.qr(rng.standard_normal((2 * half, 2 * half)))[0]
         first, second = (unit(rng.standard_normal((width, half))) for _ in range(2))
-        probe = unit(rng.standard_normal((400, 2 * half)))
-        share = LIST / width**2
-        cuts = [
-            np.quantile((a[:, None] + b[None, :]).ravel(), 1 - share)
-            for a, b in zip(probe[:, :half] @ first.T, probe[:, half:] @ second.T, strict=True)
-        ]
-        return ProductCode(rotation, first, second, float(np.mean(cuts)))
+        probe = unit(rng.standard_normal((PROBES, 2 * half)))
+        cuts = []
+        for a, b in zip(probe[:, :half] @ first.T, probe[:, half:] @ second.T, strict=True):
+            b = np.sort(b)
+            low, high = -2.0, 2.0
+            for _ in range(30):
+                middle = (low + high) / 2
+                above = (len(b) - np.searchsorted(b, middle - a)).sum()
+                low, high = (middle, high) if above > size else (low, middle)
+            cuts.append(low)
+        return ProductCode(rotation, first, second, float(np.mean(cuts)), int(np.ceil(LEAST * size)))
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Sorted numbers of all directions that each unit vector exceeds.
 
-        A vector that exceeds too few gets its LEAST best directions.
+        A vector that exceeds fewer than `least` gets its best ones, so many.
         """
         half = self.first.shape[1]
         wide = np.zeros((len(unit), 2 * half))
@@ -65,11 +76,12 @@ class ProductCode:
         turned = wide @ self.rotation
         out = []
         for a, b in zip(turned[:, :half] @ self.first.T, turned[:, half:] @ self.second.T, strict=True):
-            best = (np.sort(a)[-LEAST:, None] + np.sort(b)[None, -LEAST:]).ravel()
-            cut = min(self.threshold, np.partition(best, -min(LEAST, len(best)))[-min(LEAST, len(best))])
+            best = (np.sort(a)[-self.least :, None] + np.sort(b)[None, -self.least :]).ravel()
+            nth = min(self.least, len(best))
+            cut = min(self.threshold, np.partition(best, -nth)[-nth])
             i, j = np.flatnonzero(a >= cut - b.max()), np.flatnonzero(b >= cut - a.max())
             x, y = np.nonzero(a[i][:, None] + b[j][None, :] >= cut)
-            out.append(np.sort(i[x] * len(self.second) + j[y]).astype(np.int32))
+            out.append(np.sort(i[x] * len(self.second) + j[y]))
         return out
 
 
@@ -94,13 +106,13 @@ def _decoded(vectors: DataFrame, code: ProductCode, dim: int) -> DataFrame:
                         part.column("many"),
                         part.column("label"),
                         pa.array([v.tobytes() for v in kept], pa.binary()),
-                        pa.array(shared.value.decode(_unit(whole)), pa.list_(pa.int32())),
+                        pa.array(shared.value.decode(_unit(whole)), pa.list_(pa.int64())),
                     ],
                     ["uid", "rep", "many", "label", "vec", "lists"],
                 )
 
     kind = dict(vectors.dtypes)["label"]
-    return vectors.mapInArrow(run, f"uid long, rep long, many long, label {kind}, vec binary, lists array<int>")
+    return vectors.mapInArrow(run, f"uid long, rep long, many long, label {kind}, vec binary, lists array<long>")
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
