@@ -84,6 +84,29 @@ def noisy_or(score: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, np.log1p(-np.minimum(score, 1 - 1e-12)), minlength=n))
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Stretches of the texts that hold few rows and few bytes, each with the number of its first row."""
+    at = 0
+    for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", 512):
+        yield at, part.column(0)
+        at += part.num_rows
+
+
+def slope(
+    p: np.ndarray, doc: np.ndarray, toxic: np.ndarray, entry: np.ndarray, which: np.ndarray, width: int
+) -> np.ndarray:
+    """Gradient of the documents' mean noisy-or log-likelihood by the weights, then the bias.
+
+    `p` are the sentences' scores, `doc` their documents; `entry` and `which` are sentence and weight of
+    every feature. A sentence of a document that is not toxic is pulled down by its score; one of a toxic
+    document up by its share of what the document's other sentences leave unexplained.
+    """
+    n = len(toxic)
+    whole = np.clip(noisy_or(p, doc, n), 1e-9, 1 - 1e-12)
+    pull = np.where(toxic > 0, (1 - whole) / whole, -1.0)[doc] * p
+    return np.append(np.bincount(which, pull[entry], minlength=width), pull.sum()) / max(n, 1)
+
+
 def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> Model:
     """Fit on document labels (0 or 1).
 
@@ -94,8 +117,8 @@ def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 300, rate: float = 0.1,
     toxic = toxic.astype(np.float64)
     n, width = len(toxic), 1 << FEATURE_BITS
     pos, neg = np.zeros(width), np.zeros(width)
-    for at in range(0, n, 512):
-        words, _, slots = _instances(texts.slice(at, 512))
+    for at, part in _parts(texts):
+        words, _, slots = _instances(part)
         row = np.broadcast_to(words.doc, slots.shape)[slots >= 0]
         key = np.unique(row.astype(np.int64) * width + slots[slots >= 0])
         y = toxic[at + key // width]
@@ -111,8 +134,8 @@ def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 300, rate: float = 0.1,
     limit = 2 * np.log(max(2, np.count_nonzero(pos + neg)))
     chosen = np.flatnonzero((gain > limit) & (pos >= 4) & (pos * n0 > neg * n1)) if n1 and n0 else np.zeros(0, np.int64)
     doc_of, entry, which, base = [], [], [], 0
-    for at in range(0, n, 512):
-        words, sentence, slots = _instances(texts.slice(at, 512))
+    for at, part in _parts(texts):
+        words, sentence, slots = _instances(part)
         m = int(sentence[-1]) + 1 if len(sentence) else 0
         doc = np.zeros(m, np.int64)
         doc[sentence] = words.doc
@@ -126,9 +149,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 300, rate: float = 0.1,
     m1 = m2 = np.zeros(len(chosen) + 1)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-(bias + np.bincount(entry, weights[which], minlength=base))))
-        whole = np.clip(noisy_or(p, doc, n), 1e-9, 1 - 1e-12)
-        pull = np.where(toxic > 0, (1 - whole) / whole, -1.0)[doc] * p
-        g = np.append(np.bincount(which, pull[entry], minlength=len(chosen)), pull.sum()) / max(n, 1)
+        g = slope(p, doc, toxic, entry, which, len(chosen))
         g[:-1] -= decay * weights
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
         step = rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
@@ -236,12 +257,17 @@ def held_out() -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`doc_id, held_out, score, predicted` of every row of `docs`, learned outside the held-out rows."""
+    """`doc_id, held_out, score, predicted, offending` of every row of `docs`, learned outside the held-out rows.
+
+    `offending` are the sentences that score 0.5 or more, as start:end in code points, comma-joined.
+    """
     model = train(docs, labels.filter(~held_out()))
-    scored = score_documents(docs, model, located=False)
+    scored = score_documents(docs, model)
+    spans = F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.array_join(spans, ",").alias("offending"),
     )

@@ -197,6 +197,19 @@ def test_leaks_against_edit_distance():
     assert len(norm.data) > 0
 
 
+def test_leaks_in_stretches_of_common_grams(monkeypatch):
+    """Texts and items full of one repeated phrase: searched piece by piece, the same windows are found."""
+    phrase = "over and over again "
+    items = [phrase * 6, phrase * 3 + text(prose(20, 7)), BENCH[0]]
+    index = decontam.Index.build([1, 2, 3], items)
+    texts = pa.array([phrase * 60, text(prose(30, 8)) + " " + phrase * 3 + text(prose(20, 7)), BENCH[0] + " " + phrase * 20, "x", None])
+    whole = {f[:2] for f in index.search(texts)}
+    assert whole >= {(0, 1), (1, 2), (2, 3), (2, 1)}
+    for most in (50, 1000):
+        monkeypatch.setattr(decontam, "MOST_HITS", most)
+        assert {f[:2] for f in index.search(texts)} == whole
+
+
 def model_path():
     import public_tokenizers
 
@@ -239,6 +252,31 @@ def test_normaliser_as_the_library():
             assert len(places) == len(norm) + 1 and (np.diff(places) >= 0).all() and places[-1] <= len(t.encode())
 
 
+def test_noisy_or_and_its_slope():
+    """Against plain products, and against differences of the likelihood."""
+    rng = np.random.default_rng(4)
+    n, m, width = 12, 40, 7
+    doc, toxic = np.sort(rng.integers(0, n, m)), rng.integers(0, 2, n)
+    entry, which = rng.integers(0, m, 90), rng.integers(0, width, 90)
+    at = rng.normal(0, 0.7, width + 1)
+
+    def scores(w):
+        return 1 / (1 + np.exp(-(w[-1] + np.bincount(entry, w[which], minlength=m))))
+
+    def likelihood(w):
+        p = scores(w)
+        whole = [1 - np.prod([1 - x for x, d in zip(p, doc, strict=True) if d == k]) for k in range(n)]
+        assert np.allclose(toxicity.noisy_or(p, doc, n), whole)
+        have = [k for k in range(n) if (doc == k).any()]
+        return sum(np.log(whole[k]) if toxic[k] else np.log(1 - whole[k]) for k in have) / n
+
+    got = toxicity.slope(scores(at), doc, toxic.astype(float), entry, which, width)
+    for k in range(width + 1):
+        step = np.zeros(width + 1)
+        step[k] = 1e-6
+        assert abs((likelihood(at + step) - likelihood(at - step)) / 2e-6 - got[k]) < 1e-6
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     bad = ["grolk", "snarv", "blizt", "vurmek"]
