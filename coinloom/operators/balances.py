@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,31 +72,46 @@ def recompute_watch(watch: DataFrame, io: DataFrame, spends: DataFrame, tx: Data
     return joined.select(watch.columns)
 
 
-def block_deltas(watch: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame) -> DataFrame:
+def block_deltas(
+    watch: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, new: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """`height, address, delta_sats, delta_utxos, delta_txs, rep_txid`: what each block changes.
 
-    Credits and debits are one list of events, so nothing is collected for a busy address.
+    Credits and debits are one list of events, so nothing is collected for a busy address. `new` may
+    pick the events that count: it adds a column of that name to events (height, made, address, ...),
+    where `made` is the height that the coin comes from. A transaction counts for an address unless
+    another of its events there is old.
     """
     watched = watch.select("address")
-    outs = io.filter("io_type = 'out'").join(watched, "address", "left_semi").select("txid", "idx", "address", "amount")
-    credit = outs.join(tx.select("txid", "height"), "txid").select(
-        "height", "address", "txid", F.col("amount").alias("sats"), F.lit(1).alias("coin")
+    outs = (
+        io.filter("io_type = 'out'").join(watched, "address", "left_semi").select("txid", "idx", "address", "amount")
+        .join(tx.select("txid", F.col("height").alias("made")), "txid", "left")
+    )
+    credit = outs.filter("made is not null").select(
+        F.col("made").alias("height"), "made", "address", "txid", F.col("amount").alias("sats"), F.lit(1).alias("coin")
     )
     debit = outs.join(
         spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid", "spent_height"), COIN
     ).select(
-        F.col("spent_height").alias("height"), "address", F.col("spending_txid").alias("txid"),
+        F.col("spent_height").alias("height"), "made", "address", F.col("spending_txid").alias("txid"),
         (-F.col("amount")).alias("sats"), F.lit(-1).alias("coin"),
     )
+    events = credit.unionByName(debit)
+    events = events.withColumn("new", F.lit(True)) if new is None else new(events)
     each = (
-        credit.unionByName(debit)
-        .groupBy("height", "address", "txid")
-        .agg(F.sum("sats").alias("sats"), F.sum("coin").alias("coin"))
+        events.groupBy("height", "address", "txid")
+        .agg(
+            F.sum(F.when(F.col("new"), F.col("sats"))).alias("sats"),
+            F.sum(F.when(F.col("new"), F.col("coin"))).alias("coin"),
+            F.bool_and("new").alias("first"),
+            F.bool_or("new").alias("new"),
+        )
+        .filter("new")
     )
     return each.groupBy("height", "address").agg(
         F.sum("sats").alias("delta_sats"),
         F.sum("coin").alias("delta_utxos"),
-        F.count("*").alias("delta_txs"),
+        F.count_if("first").alias("delta_txs"),
         F.min("txid").alias("rep_txid"),
     )
 

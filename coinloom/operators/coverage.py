@@ -118,8 +118,10 @@ def pubkey_coverage(status: DataFrame, early: int = 260_000) -> DataFrame:
     )
 
 
-def has_type(io: DataFrame, kind: str = "p2pk") -> bool:
-    return not io.filter(F.col("address_type") == kind).limit(1).isEmpty()
+def has_type(io: DataFrame, kind: str = "p2pk") -> DataFrame:
+    """`kind, present`: whether any row has the type; the first one found ends the search."""
+    one = io.filter(F.col("address_type") == kind).select(F.lit(1)).limit(1)
+    return one.agg((F.count("*") > 0).alias("present")).select(F.lit(kind).alias("kind"), "present")
 
 
 def known_addresses(io: DataFrame, addresses: DataFrame) -> DataFrame:

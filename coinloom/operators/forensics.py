@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coinloom.functions.scalars import hop_confidence
 from coinloom.operators.balances import coins
 from coinloom.operators.components import connected_components
+from coinloom.operators.scratch import staged
 
 DUST = 546
 
@@ -21,26 +25,30 @@ def departures(io: DataFrame, spends: DataFrame) -> DataFrame:
 def price_at(rows: DataFrame, time: str, prices: DataFrame, currency: str) -> DataFrame:
     """`rows` plus `price`: the latest price at or before each row's time.
 
-    Rows and prices of a month meet in one window; a month's first rows take the last price of the
-    months before, carried over a table of months.
+    Prices become steps inside a day, the first of them carried from the days before, and rows meet
+    the steps of their day. Of prices at one time the largest counts. Only the days, never the rows,
+    pass through one window.
     """
-    p = prices.filter(F.col("currency") == currency).select(F.col("ts").alias("_ts"), "price", F.trunc("ts", "month").alias("_m"))
-    months = p.groupBy("_m").agg(F.max_by("price", "_ts").alias("_last"))
-    wanted = rows.select(F.trunc(time, "month").alias("_m")).distinct()
-    every = wanted.join(months, "_m", "full")
-    before = Window.orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    carried = every.select("_m", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
-    columns = rows.columns
-    left = rows.select(*columns, F.col(time).alias("_ts"), F.trunc(time, "month").alias("_m"), F.lit(1).alias("_k"), F.lit(None).cast(p.schema["price"].dataType).alias("price"))
-    right = p.select(*(F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns), "_ts", "_m", F.lit(0).alias("_k"), "price")
-    order = Window.partitionBy("_m").orderBy("_ts", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    joined = left.unionByName(right).withColumn("price", F.last("price", ignorenulls=True).over(order)).filter("_k = 1")
-    return joined.join(carried, "_m", "left").select(*columns, F.coalesce("price", "_carried").alias("price"))
+    p = prices.filter(F.col("currency") == currency).select(F.col("ts").alias("_lo"), "price", F.to_date("ts").alias("_day"))
+    wanted = rows.select(F.to_date(time).alias("_day")).filter("_day is not null").distinct()
+    last = p.groupBy("_day").agg(F.max_by("price", F.struct("_lo", "price")).alias("_last"))
+    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = wanted.join(last, "_day", "full").select(
+        F.col("_day").cast("timestamp").alias("_lo"), F.last("_last", ignorenulls=True).over(before).alias("price"), "_day"
+    )
+    steps = carried.filter("price is not null").withColumn("_k", F.lit(0)).unionByName(p.withColumn("_k", F.lit(1)))
+    inside = Window.partitionBy("_day").orderBy("_lo", "_k", "price")
+    steps = steps.withColumn("_hi", F.lead("_lo").over(inside)).drop("_k")
+    left = rows.withColumn("_at", F.col(time)).withColumn("_on", F.to_date(time))
+    within = (F.col("_on") == F.col("_day")) & (F.col("_at") >= F.col("_lo")) & (F.col("_hi").isNull() | (F.col("_at") < F.col("_hi")))
+    return left.join(steps, within, "left").select(*rows.columns, "price")
 
 
 def fiat_values(io: DataFrame, tx: DataFrame, prices: DataFrame, currency: str = "USD") -> DataFrame:
+    """`value`: amount times price, exact, rounded once to millionths."""
     outs = io.filter("io_type = 'out'").join(tx.select("txid", "received_time"), "txid").select("txid", "idx", "amount", "received_time")
-    return price_at(outs, "received_time", prices, currency).withColumn("value", F.col("amount") / F.lit(1e8) * F.col("price").cast("double"))
+    exact = F.expr("cast(round(cast(amount as decimal(16,0)) * cast(price as decimal(18,8)), -2) / 100 as bigint)")
+    return price_at(outs, "received_time", prices, currency).withColumn("value", exact / F.lit(1e6))
 
 
 def match_amounts(left: DataFrame, right: DataFrame, tolerance: int, seconds: int) -> DataFrame:
@@ -117,39 +125,44 @@ def change_scores(io: DataFrame, spends: DataFrame, tx: DataFrame) -> DataFrame:
     return rows.withColumn("score", score)
 
 
-def poison(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int) -> DataFrame:
-    """`txid, idx, hop`: coins that anything tainted (txid, idx) leads to, at their first hop."""
-    from coinloom.operators.scratch import staged
-
+def poison(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int | None = None) -> DataFrame:
+    """`txid, idx, hop`: coins that anything tainted (txid, idx) leads to, at their first hop; all of them without `hops`."""
     outs = io.filter("io_type = 'out'").select("txid", "idx")
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     at = start.select("txid", "idx").distinct().withColumn("hop", F.lit(0))
     whole = at
-    for hop in range(1, hops + 1):
+    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         used = at.join(edge, ["txid", "idx"]).select(F.col("spending_txid").alias("txid")).distinct()
         at = staged(outs.join(used, "txid").join(whole.select("txid", "idx"), ["txid", "idx"], "left_anti").withColumn("hop", F.lit(hop)))
+        if at.isEmpty():
+            break
         whole = whole.unionByName(at)
     return whole
 
 
-def haircut_taint(start: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, hops: int) -> DataFrame:
-    """`txid, idx, hop, tainted`: at each hop, an output's share of the tainted input of its transaction."""
-    from coinloom.operators.scratch import staged
+def haircut_taint(
+    start: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, hops: int | None = None
+) -> DataFrame:
+    """`txid, idx, hop, tainted_milli`: at each hop, an output's share of the tainted input of its transaction.
 
+    In thousandths of a satoshi, cut at each hop; null where the inputs' total is null or 0. Without
+    `hops` until no coin is left.
+    """
     outs = io.filter("io_type = 'out'").select("txid", "idx", "amount")
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     totals = tx.select("txid", F.nullif("total_in", F.lit(0)).alias("total_in"))
     at = outs.join(start.select("txid", "idx").distinct(), ["txid", "idx"], "left_semi").select(
-        "txid", "idx", F.lit(0).alias("hop"), F.col("amount").cast("double").alias("tainted")
+        "txid", "idx", F.lit(0).alias("hop"), (F.col("amount") * 1000).alias("tainted_milli")
     )
+    share = F.expr("(cast(amount as decimal(16,0)) * cast(put as decimal(19,0))) div cast(total_in as decimal(19,0))")
     whole = at
-    for hop in range(1, hops + 1):
-        put = at.join(edge, ["txid", "idx"]).groupBy(F.col("spending_txid").alias("txid")).agg(F.sum("tainted").alias("put"))
+    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
+        put = at.join(edge, ["txid", "idx"]).groupBy(F.col("spending_txid").alias("txid")).agg(F.sum("tainted_milli").alias("put"))
         at = staged(
-            put.join(totals, "txid").join(outs, "txid").select(
-                "txid", "idx", F.lit(hop).alias("hop"), (F.col("amount") * F.col("put") / F.col("total_in")).alias("tainted")
-            )
+            put.join(totals, "txid").join(outs, "txid").select("txid", "idx", F.lit(hop).alias("hop"), share.alias("tainted_milli"))
         )
+        if at.isEmpty():
+            break
         whole = whole.unionByName(at)
     return whole
 
@@ -177,21 +190,28 @@ def ordered_taint(tainted: DataFrame, io: DataFrame, spends: DataFrame, last_fir
     )
 
 
-def peel_chains(io: DataFrame, spends: DataFrame, hops: int = 16) -> DataFrame:
-    """`txid, length`: how many transactions of two outputs, one of them much larger and spent on, follow each other."""
-    from coinloom.operators.scratch import staged
+def peel_chains(io: DataFrame, spends: DataFrame, max_rounds: int = 40) -> DataFrame:
+    """`txid, length`: how many transactions of two outputs, one of them much larger and spent on, follow each other.
 
+    Every round a chain's pointer takes over the pointer where it ends, so lengths double.
+    """
     outs = io.filter("io_type = 'out'")
     shape = outs.groupBy("txid").agg(
         F.count("*").alias("n"), F.max("amount").alias("big"), F.sum("amount").alias("whole"), F.max_by("idx", F.struct("amount", "idx")).alias("idx")
     ).filter((F.col("n") == 2) & (F.col("big") * 2 > F.col("whole")))
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), F.col("spending_txid").alias("next"))
-    step = staged(shape.join(edge, ["txid", "idx"]).join(shape.select(F.col("txid").alias("next")), "next", "left_semi").select("txid", "next"))
-    length = shape.select("txid", F.lit(1).alias("length"), F.col("txid").alias("at"))
-    for _ in range(hops):
-        on = length.join(step.withColumnRenamed("txid", "at"), "at").select("txid", (F.col("length") + 1).alias("length"), F.col("next").alias("at"))
-        length = staged(length.unionByName(on).groupBy("txid").agg(F.max_by("at", "length").alias("at"), F.max("length").alias("length")).select("txid", "length", "at"))
-    return length.select("txid", "length")
+    step = shape.join(edge, ["txid", "idx"]).join(shape.select(F.col("txid").alias("next")), "next", "left_semi").select("txid", "next")
+    ends = staged(
+        shape.select("txid").join(step, "txid", "left")
+        .select("txid", F.coalesce("next", "txid").alias("at"), F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("steps"))
+    )
+    for _ in range(max_rounds):
+        on = ends.select(F.col("txid").alias("at"), F.col("at").alias("_to"), F.col("steps").alias("_more"))
+        ends = staged(ends.join(on, "at").select("txid", F.col("_to").alias("at"), (F.col("steps") + F.col("_more")).alias("steps"), (F.col("_more") > 0).alias("_on")))
+        if ends.filter("_on").isEmpty():
+            return ends.select("txid", (F.col("steps") + 1).alias("length"))
+        ends = ends.drop("_on")
+    raise RuntimeError("transactions spend each other in a circle")
 
 
 def dust(io: DataFrame, spends: DataFrame, limit: int = DUST) -> DataFrame:
@@ -259,6 +279,5 @@ def fees(tx: DataFrame) -> DataFrame:
 
 def path_confidence(hops: Column) -> Column:
     """Product of the confidences of hops 0 .. hops - 1."""
-    from coinloom.functions.scalars import hop_confidence
-
-    return F.aggregate(F.sequence(F.lit(0), hops - 1), F.lit(1.0), lambda a, d: a * hop_confidence(d))
+    steps = F.filter(F.sequence(F.lit(0), F.greatest(hops - 1, F.lit(0))), lambda d: d < hops)
+    return F.aggregate(steps, F.lit(1.0), lambda a, d: a * hop_confidence(d))

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coinloom.functions import scalars
 from coinloom.operators import balances, coverage, forensics
-from coinloom.operators.flatten import Flat, derived_status, flatten
-from coinloom.operators.upsert import fill_total_in, insert_io, insert_spends, resolve_missing_inputs, upsert_tags, upsert_transactions
+from coinloom.operators.flatten import Flat, derived_status, dropped_fields, flatten, valid_io
+from coinloom.operators.upsert import add_tag, fill_total_in, insert_io, insert_spends, remove_tags, resolve_missing_inputs, upsert_tags, upsert_transactions
 from coinloom.plans import report, trace
 from coinloom.sources import ledger as source
 from coinloom.sources import tags as tag_source
@@ -33,11 +34,11 @@ WITH ident AS (
 raw0 AS (
   SELECT i.*, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, l_returnflag) - 1 AS INTEGER) AS idx,
          CASE WHEN l_returnflag = 'R' THEN o_custkey ELSE (l_partkey * 31 + l_suppkey * 17) % (SELECT count(*) FROM customer) END AS owner,
-         CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, l_tax = 0 AS dropped
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, l_tax = 0 AS dropped, round(l_discount * 100) = 7 AS single
   FROM lineitem JOIN ident i ON l_orderkey = o_orderkey),
-raw AS (SELECT *, {_ADDRESS.format("owner")} AS address, {_TYPE.format("owner")} AS address_type FROM raw0),
+raw AS (SELECT *, CASE WHEN single THEN {_ADDRESS.format("owner").replace("concat('addr:', owner)", "concat('coin:', txid, ':', idx)")} ELSE {_ADDRESS.format("owner")} END AS address, {_TYPE.format("owner")} AS address_type FROM raw0),
 ev AS (
-  SELECT owner AS who, received_time AS t, o_orderkey AS k, 0 AS kind, txid, idx, address, address_type, amount,
+  SELECT CASE WHEN owner % 30 < 6 THEN owner - owner % 3 ELSE owner END AS who, received_time AS t, o_orderkey AS k, 0 AS kind, txid, idx, address, address_type, amount,
          NULL::STRUCT(txid VARCHAR, height INTEGER, block_hash VARCHAR, received_time TIMESTAMP) AS nx FROM raw WHERE NOT dropped
   UNION ALL
   SELECT o_custkey, received_time, o_orderkey, 1, NULL, NULL, NULL, NULL, NULL,
@@ -99,19 +100,26 @@ in_edges AS (
   FROM (SELECT DISTINCT address, txid FROM outs) g JOIN ins i ON i.txid = g.txid JOIN tx t ON t.txid = g.txid LEFT JOIN n_inputs n ON n.spending_txid = g.txid GROUP BY ALL),
 ranked AS (SELECT *, CAST(round(value_milli / 1000.0) AS BIGINT) AS value_sats,
     row_number() OVER (PARTITION BY address ORDER BY CAST(round(value_milli / 1000.0) AS BIGINT) DESC NULLS LAST, other) AS rank FROM out_edges),
-origins AS (SELECT {_ADDRESS.format("c_custkey")} AS origin FROM customer WHERE c_custkey % 250 = 0),
+origins AS (SELECT {_ADDRESS.format("c_custkey")} AS origin FROM customer WHERE c_custkey % 50 = 0),
+hubs AS (SELECT address FROM outs GROUP BY address HAVING count(*) > 50),
 used AS (SELECT DISTINCT o.origin, c.spending_txid AS txid FROM origins o JOIN coins c ON c.address = o.origin WHERE c.spending_txid IS NOT NULL),
 cluster AS (SELECT DISTINCT origin, address FROM (SELECT u.origin, i.address FROM used u JOIN ins i USING (txid) UNION ALL SELECT origin, origin FROM origins)),
 lvl0 AS (SELECT o.origin, r.address, r.other, r.value_sats, r.tx_count, r.first_seen, r.single_input, r.rank, 0 AS depth FROM origins o JOIN ranked r ON r.address = o.origin WHERE r.rank <= 4),
-front1 AS (SELECT DISTINCT l.origin, l.other AS address FROM lvl0 l ANTI JOIN cluster c ON c.origin = l.origin AND c.address = l.other WHERE l.other <> l.origin),
+front1 AS (SELECT DISTINCT l.origin, l.other AS address FROM lvl0 l ANTI JOIN cluster c ON c.origin = l.origin AND c.address = l.other WHERE l.other <> l.origin AND l.other NOT IN (SELECT address FROM hubs)),
 lvl1 AS (SELECT f.origin, r.address, r.other, r.value_sats, r.tx_count, r.first_seen, r.single_input, r.rank, 1 AS depth FROM front1 f JOIN ranked r ON r.address = f.address WHERE r.rank <= 4),
 edges AS (SELECT l.origin, l.address AS "from", l.other AS "to", l.depth, coalesce(value_sats, 0) AS value_sats, tx_count, first_seen, single_input AS certain,
     c.address IS NOT NULL AS returns_to_owner FROM (SELECT * FROM lvl0 UNION ALL SELECT * FROM lvl1) l LEFT JOIN cluster c ON c.origin = l.origin AND c.address = l.other),
 node0 AS (SELECT origin, address, min(depth) AS depth FROM (SELECT origin, origin AS address, 0 AS depth FROM origins UNION ALL SELECT origin, other, 1 FROM lvl0 UNION ALL SELECT origin, other, 2 FROM lvl1) GROUP BY ALL),
 addr_totals AS (SELECT address, CAST(coalesce(sum(amount) FILTER (WHERE io_type = 'out'), 0) AS BIGINT) AS received_sats, CAST(coalesce(sum(amount) FILTER (WHERE io_type = 'in'), 0) AS BIGINT) AS sent_sats FROM io GROUP BY address),
-nodes AS (SELECT n.origin, n.address, n.depth, n.address = n.origin AS is_origin, c.address IS NOT NULL AND n.address <> n.origin AS same_owner,
+nodes AS (SELECT n.origin, n.address, n.depth, n.address = n.origin AS is_origin, CASE WHEN n.address = n.origin THEN 'origin' ELSE 'out' END AS side,
+    n.address <> n.origin AND n.address IN (SELECT address FROM hubs) AS is_hub, coalesce(f.n >= 4, false) AS truncated, c.address IS NOT NULL AND n.address <> n.origin AS same_owner,
     coalesce(t.received_sats, 0) AS received_sats, coalesce(t.sent_sats, 0) AS sent_sats, b.entity_name AS entity, b.category AS entity_category
-  FROM node0 n LEFT JOIN cluster c ON c.origin = n.origin AND c.address = n.address LEFT JOIN addr_totals t ON t.address = n.address LEFT JOIN best b ON b.address = n.address)
+  FROM node0 n LEFT JOIN cluster c ON c.origin = n.origin AND c.address = n.address LEFT JOIN addr_totals t ON t.address = n.address LEFT JOIN best b ON b.address = n.address
+    LEFT JOIN (SELECT origin, "from", count(*) AS n FROM edges GROUP BY ALL) f ON f.origin = n.origin AND f."from" = n.address),
+in_ranked AS (SELECT *, row_number() OVER (PARTITION BY address ORDER BY value_sats DESC NULLS LAST, other) AS rank FROM in_edges),
+both_ways AS (
+  SELECT o.origin, o.origin AS "from", r.other AS "to", 'out' AS dir, coalesce(r.value_sats, 0) AS value_sats FROM origins o JOIN ranked r ON r.address = o.origin WHERE r.rank <= 4
+  UNION ALL SELECT o.origin, r.other, o.origin, 'in', r.value_sats FROM origins o JOIN in_ranked r ON r.address = o.origin WHERE r.rank <= 4)
 """
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,20 +147,21 @@ def _flat(spark: SparkSession, sf_dir: str, prevouts: bool = True) -> Flat:
 
 def _origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey % 250 = 0").select(source._address_of("c_custkey").alias("origin"))
+        spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey % 50 = 0").select(source._address_of("c_custkey").alias("origin"))
     )
 
 
-_graphs: dict[tuple[str, str], trace.Graph] = {}
+_graphs: dict[tuple[str, str, str], trace.Graph] = {}
 
 
-def _graph(spark: SparkSession, sf_dir: str) -> trace.Graph:
-    """Graphs of every 250th customer's address, two hops, four flows each; made once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _graph(spark: SparkSession, sf_dir: str, direction: str = "out", depth: int = 2) -> trace.Graph:
+    """Graphs of every 50th customer's address, two hops, four flows each, all coins; made once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, direction)
     if key not in _graphs:
         led = source.derive(spark, sf_dir)
-        limits = trace.Limits(depth=2, fanout=4)
-        _graphs[key] = trace.build_graph(_origins(spark, sf_dir), led.io, led.spends, led.tx, source.tag_frame(spark, sf_dir), limits)
+        limits = trace.Limits(depth, fanout=4, max_coins=None, hub_outputs=50)
+        tags = source.tag_frame(spark, sf_dir)
+        _graphs[key] = trace.build_graph(_origins(spark, sf_dir), led.io, led.spends, led.tx, tags, limits, direction)
     return _graphs[key]
 
 
@@ -355,7 +364,7 @@ def top_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("SELECT origin, address FROM cluster")
 def origin_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
-    return trace.co_spent(_origins(spark, sf_dir), led.io, led.spends)
+    return trace.co_spent(_origins(spark, sf_dir), led.io, led.spends, None, None)
 
 
 @registered("SELECT address, source, entity_name, category FROM best")
@@ -371,11 +380,11 @@ def trace_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered("""SELECT origin, address, CAST(depth AS INTEGER) AS depth, CAST(depth AS INTEGER) AS level, is_origin, same_owner, received_sats / 1e8 AS total_received_btc, sent_sats / 1e8 AS total_sent_btc,
+@registered("""SELECT origin, address, CAST(depth AS INTEGER) AS depth, CAST(depth AS INTEGER) AS level, is_origin, side, is_hub, truncated, same_owner, received_sats / 1e8 AS total_received_btc, sent_sats / 1e8 AS total_sent_btc,
   entity, entity_category FROM nodes""")
 def trace_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graph(spark, sf_dir).nodes.select(
-        "origin", "address", "depth", "level", "is_origin", "same_owner", "total_received_btc", "total_sent_btc", "entity", "entity_category"
+        "origin", "address", "depth", "level", "is_origin", "side", "is_hub", "truncated", "same_owner", "total_received_btc", "total_sent_btc", "entity", "entity_category"
     )
 
 
@@ -556,14 +565,26 @@ def missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.missing_inputs(led.tx, led.io, led.spends)
 
 
-@registered("""SELECT * FROM (VALUES ('transactions', 'unique(txid)', 0::BIGINT), ('tx_io', 'unique(txid,io_type,idx)', 0), ('spends', 'unique(prev_txid,prev_vout)', 0), ('spends', 'unique(spending_txid,spending_vin)', 0),
-  ('entity_tags', 'unique(address,source)', 0), ('watch', 'not_negative', 0), ('transactions', 'block_exists', 0)) v("table", rule, violations)""")
+@registered("""SELECT 'transactions' AS "table", 'unique(txid)' AS rule, count(*) AS violations FROM tx WHERE height % 300 = 0
+  UNION ALL SELECT 'tx_io', 'unique(txid,io_type,idx)', count(*) FROM outs WHERE idx = 5
+  UNION ALL SELECT 'spends', 'unique(prev_txid,prev_vout)', count(*) FROM spends WHERE spent_height % 100 = 0
+  UNION ALL SELECT 'spends', 'unique(spending_txid,spending_vin)', count(*) FROM spends WHERE spending_vin = 2
+  UNION ALL SELECT 'entity_tags', 'unique(address,source)', count(*) FROM tags WHERE source = 'beta'
+  UNION ALL SELECT 'watch', 'not_negative', count(*) FROM watch WHERE c_custkey % 100 = 50
+  UNION ALL SELECT 'transactions', 'block_exists', CAST(sum(CASE WHEN height % 300 = 0 THEN 2 ELSE 1 END) AS BIGINT) FROM tx WHERE height % 70 = 0""")
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = source.derive(spark, sf_dir)
+    """The checks on copies of the tables that break every rule by some rows."""
+    led, tags, watch = source.derive(spark, sf_dir), source.tag_frame(spark, sf_dir), source.watch_frame(spark, sf_dir)
+    again = led.spends.filter("spending_vin = 2").withColumn("prev_vout", F.col("prev_vout") + 1000)
+    twice = led.spends.filter("spent_height % 100 = 0").withColumn("spending_vin", F.col("spending_vin") + 1000)
     tables = {
-        "transactions": led.tx, "tx_io": led.io, "spends": led.spends, "entity_tags": source.tag_frame(spark, sf_dir),
-        "watch": source.watch_frame(spark, sf_dir), "blocks": _blocks_of(led),
-    }
+        "transactions": led.tx.unionByName(led.tx.filter("height % 300 = 0")),
+        "tx_io": led.io.unionByName(led.io.filter("io_type = 'out' and idx = 5")),
+        "spends": led.spends.unionByName(again).unionByName(twice),
+        "entity_tags": tags.unionByName(tags.filter("source = 'beta'")),
+        "watch": watch.withColumn("balance_sats", F.expr("if(label like '%50', -1, balance_sats)")),
+        "blocks": _blocks_of(led).filter("height % 70 != 0"),
+    }
     keys = {k: v for k, v in KEYS.items() if k != "blocks"}
     return coverage.constraint_report(tables, keys)
 
@@ -593,11 +614,11 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forensics.departures(led.io, led.spends)
 
 
-@registered("""SELECT o.txid, o.idx, o.amount, t.received_time, CAST(p.price AS DECIMAL(18,8)) AS price, round(o.amount / 1e8 * p.price, 6) AS value
+@registered("""SELECT o.txid, o.idx, o.amount, t.received_time, CAST(p.price AS DECIMAL(18,8)) AS price, ((o.amount::HUGEINT * p.price + 50) // 100)::BIGINT / 1000000.0::DOUBLE AS value
   FROM outs o JOIN tx t USING (txid) ASOF LEFT JOIN (SELECT * FROM prices WHERE currency = 'USD') p ON t.received_time >= p.ts""")
 def fiat_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
-    return forensics.fiat_values(led.io, led.tx, source.price_frame(led)).withColumn("value", F.round("value", 6))
+    return forensics.fiat_values(led.io, led.tx, source.price_frame(led))
 
 
 _MATCH_L = "SELECT concat(txid, ':', idx) AS id, amount AS s, epoch(received_time)::BIGINT AS t FROM outs JOIN tx USING (txid) WHERE address_type = 'p2pkh'"
@@ -648,38 +669,52 @@ def change_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _first_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
-    return led.outs().join(led.tx.filter("height % 400 = 0").select("txid"), "txid", "left_semi").select("txid", "idx")
-
+    return led.outs().join(led.tx.filter("height % 50 = 0").select("txid"), "txid", "left_semi").select("txid", "idx")
 
-_TAINT = """, h0 AS (SELECT o.txid, o.idx, o.amount, 0 AS hop FROM outs o JOIN tx t USING (txid) WHERE t.height % 400 = 0),
-  h1 AS (SELECT DISTINCT o.txid, o.idx, 1 AS hop FROM h0 JOIN coins c ON c.txid = h0.txid AND c.idx = h0.idx JOIN outs o ON o.txid = c.spending_txid ANTI JOIN h0 z ON z.txid = o.txid AND z.idx = o.idx),
-  h2 AS (SELECT DISTINCT o.txid, o.idx, 2 AS hop FROM h1 JOIN coins c ON c.txid = h1.txid AND c.idx = h1.idx JOIN outs o ON o.txid = c.spending_txid ANTI JOIN (SELECT txid, idx FROM h0 UNION SELECT txid, idx FROM h1) z ON z.txid = o.txid AND z.idx = o.idx)"""
 
-
-@registered(_TAINT + " SELECT txid, idx, hop FROM h0 UNION ALL SELECT txid, idx, hop FROM h1 UNION ALL SELECT txid, idx, hop FROM h2")
+@registered(""", next AS (SELECT DISTINCT s.prev_txid AS t, s.prev_vout AS i, o.txid, o.idx FROM spends s JOIN outs o ON o.txid = s.spending_txid),
+  walk AS (SELECT o.txid, o.idx, 0 AS hop FROM outs o JOIN tx t USING (txid) WHERE t.height % 50 = 0 UNION SELECT n.txid, n.idx, w.hop + 1 FROM walk w JOIN next n ON n.t = w.txid AND n.i = w.idx)
+  SELECT txid, idx, min(hop) AS hop FROM walk GROUP BY ALL""")
 def poison_taint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that coins made at every 50th height lead to."""
     led = source.derive(spark, sf_dir)
-    return forensics.poison(_first_coins(spark, sf_dir), led.io, led.spends, 2)
+    return forensics.poison(_first_coins(spark, sf_dir), led.io, led.spends)
+
 
+_HAIRCUT = """, {1} AS (SELECT o.txid, o.idx, CAST(o.amount::HUGEINT * p.put // nullif(t.total_in, 0) AS BIGINT) AS tainted_milli FROM
+  (SELECT s.spending_txid AS txid, sum(tainted_milli)::HUGEINT AS put FROM {0} JOIN spends s ON s.prev_txid = {0}.txid AND s.prev_vout = {0}.idx GROUP BY ALL) p JOIN tx t ON t.txid = p.txid JOIN outs o ON o.txid = p.txid)"""
 
-@registered("""SELECT o.txid, o.idx, 1 AS hop, round(o.amount * p.put / t.total_in, 3) AS tainted FROM (SELECT c.spending_txid AS txid, sum(c.amount)::DOUBLE AS put FROM coins c JOIN tx t USING (txid) WHERE t.height % 400 = 0 AND c.spending_txid IS NOT NULL GROUP BY ALL) p
-  JOIN tx t ON t.txid = p.txid JOIN outs o ON o.txid = p.txid UNION ALL SELECT o.txid, o.idx, 0, o.amount::DOUBLE FROM outs o JOIN tx t USING (txid) WHERE t.height % 400 = 0""")
+
+@registered(
+    ", c0 AS (SELECT o.txid, o.idx, o.amount * 1000 AS tainted_milli FROM outs o JOIN tx t USING (txid) WHERE t.height % 50 = 0)"
+    + "".join(_HAIRCUT.format(f"c{k}", f"c{k + 1}") for k in range(4))
+    + " UNION ALL ".join(f" SELECT txid, idx, {k} AS hop, tainted_milli FROM c{k}" for k in range(5))
+)
 def haircut_taint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four hops on from the coins made at every 50th height."""
     led = source.derive(spark, sf_dir)
-    return forensics.haircut_taint(_first_coins(spark, sf_dir), led.io, led.spends, led.tx, 1).withColumn("tainted", F.round("tainted", 3))
+    return forensics.haircut_taint(_first_coins(spark, sf_dir), led.io, led.spends, led.tx, 4)
 
 
 @registered(""", li AS (SELECT txid, idx, amount, sum(amount) OVER (PARTITION BY txid ORDER BY idx) AS hi FROM ins), lo AS (SELECT txid, idx, amount, sum(amount) OVER (PARTITION BY txid ORDER BY idx) AS hi FROM outs),
-  bad AS (SELECT l.* FROM li l JOIN spends s ON s.spending_txid = l.txid AND s.spending_vin = l.idx JOIN tx t ON t.txid = s.prev_txid WHERE t.height % 400 = 0)
+  bad AS (SELECT l.* FROM li l JOIN spends s ON s.spending_txid = l.txid AND s.spending_vin = l.idx JOIN tx t ON t.txid = s.prev_txid WHERE t.height % 50 = 0)
   SELECT o.txid, o.idx, CAST(sum(least(b.hi, o.hi) - greatest(b.hi - b.amount, o.hi - o.amount)) AS BIGINT) AS tainted FROM lo o JOIN bad b USING (txid) WHERE least(b.hi, o.hi) > greatest(b.hi - b.amount, o.hi - o.amount) GROUP BY ALL""")
 def fifo_taint(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
     return forensics.ordered_taint(_first_coins(spark, sf_dir), led.io, led.spends)
 
 
+@registered(""", li AS (SELECT txid, idx, amount, sum(amount) OVER (PARTITION BY txid ORDER BY idx DESC) AS hi FROM ins), lo AS (SELECT txid, idx, amount, sum(amount) OVER (PARTITION BY txid ORDER BY idx) AS hi FROM outs),
+  bad AS (SELECT l.* FROM li l JOIN spends s ON s.spending_txid = l.txid AND s.spending_vin = l.idx JOIN tx t ON t.txid = s.prev_txid WHERE t.height % 50 = 0)
+  SELECT o.txid, o.idx, CAST(sum(least(b.hi, o.hi) - greatest(b.hi - b.amount, o.hi - o.amount)) AS BIGINT) AS tainted FROM lo o JOIN bad b USING (txid) WHERE least(b.hi, o.hi) > greatest(b.hi - b.amount, o.hi - o.amount) GROUP BY ALL""")
+def lifo_taint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = source.derive(spark, sf_dir)
+    return forensics.ordered_taint(_first_coins(spark, sf_dir), led.io, led.spends, last_first=True)
+
+
 @registered(""", two AS (SELECT txid, max(amount) AS big, CAST(arg_max(idx, struct_pack(a := amount, i := idx)) AS INTEGER) AS idx FROM outs GROUP BY txid HAVING count(*) = 2 AND max(amount) * 2 > sum(amount)),
   step AS (SELECT two.txid, s.spending_txid AS nxt FROM two JOIN spends s ON s.prev_txid = two.txid AND s.prev_vout = two.idx JOIN two t2 ON t2.txid = s.spending_txid),
-  walk AS (SELECT txid, txid AS at, 1 AS length FROM two UNION ALL SELECT w.txid, s.nxt, w.length + 1 FROM walk w JOIN step s ON s.txid = w.at WHERE w.length < 17)
+  walk AS (SELECT txid, txid AS at, 1 AS length FROM two UNION ALL SELECT w.txid, s.nxt, w.length + 1 FROM walk w JOIN step s ON s.txid = w.at)
   SELECT txid, max(length) AS length FROM walk GROUP BY txid""")
 def peel_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = source.derive(spark, sf_dir)
@@ -731,7 +766,7 @@ def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forensics.fees(source.derive(spark, sf_dir).tx)
 
 
-@registered(""", s0 AS (SELECT o.txid, o.idx, 1 AS paths FROM outs o JOIN tx t USING (txid) WHERE t.height % 400 = 0),
+@registered(""", s0 AS (SELECT o.txid, o.idx, 1 AS paths FROM outs o JOIN tx t USING (txid) WHERE t.height % 50 = 0),
   s1 AS (SELECT o.txid, o.idx, p.paths FROM (SELECT c.spending_txid, sum(paths) AS paths FROM s0 JOIN coins c USING (txid, idx) WHERE c.spending_txid IS NOT NULL GROUP BY ALL) p JOIN outs o ON o.txid = p.spending_txid),
   s2 AS (SELECT o.txid, o.idx, p.paths FROM (SELECT c.spending_txid, sum(paths) AS paths FROM s1 JOIN coins c USING (txid, idx) WHERE c.spending_txid IS NOT NULL GROUP BY ALL) p JOIN outs o ON o.txid = p.spending_txid)
   SELECT x.txid, x.idx, CAST(x.paths AS BIGINT) AS paths, x.hop, o.amount, o.address FROM (SELECT *, 0 AS hop FROM s0 UNION ALL SELECT *, 1 FROM s1 UNION ALL SELECT *, 2 FROM s2) x JOIN outs o USING (txid, idx)""")
@@ -740,15 +775,135 @@ def coin_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trace.coin_trail(_first_coins(spark, sf_dir), led.io, led.spends, 2)
 
 
-@registered(""", stops AS (SELECT DISTINCT txid FROM ins JOIN tags USING (address)),
-  back AS (SELECT DISTINCT spending_txid AS txid, prev_txid FROM spends),
-  p0 AS (SELECT txid FROM tx WHERE height % 400 = 399),
-  p1 AS (SELECT DISTINCT b.prev_txid AS txid FROM p0 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0)),
-  p2 AS (SELECT DISTINCT b.prev_txid AS txid FROM p1 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0 UNION SELECT txid FROM p1)),
-  p3 AS (SELECT DISTINCT b.prev_txid AS txid FROM p2 JOIN back b USING (txid) WHERE txid NOT IN (SELECT txid FROM stops) AND b.prev_txid NOT IN (SELECT txid FROM p0 UNION SELECT txid FROM p1 UNION SELECT txid FROM p2))
-  SELECT hop, txid, txid NOT IN (SELECT txid FROM back) AS is_coinbase, txid IN (SELECT txid FROM stops) AS is_tagged
-  FROM (SELECT 0 AS hop, txid FROM p0 UNION ALL SELECT 1, txid FROM p1 UNION ALL SELECT 2, txid FROM p2 UNION ALL SELECT 3, txid FROM p3)""")
+@registered(""", stops AS (SELECT DISTINCT txid FROM ins JOIN tags USING (address)), back AS (SELECT DISTINCT spending_txid AS txid, prev_txid FROM spends),
+  walk AS (SELECT txid, 0 AS hop FROM tx WHERE height % 50 = 0 UNION SELECT b.prev_txid, w.hop + 1 FROM walk w JOIN back b USING (txid) WHERE w.txid NOT IN (SELECT txid FROM stops))
+  SELECT min(hop) AS hop, txid, txid NOT IN (SELECT txid FROM back) AS is_coinbase, txid IN (SELECT txid FROM stops) AS is_tagged FROM walk GROUP BY txid""")
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the transactions of every 50th height back to the beginning."""
+    led = source.derive(spark, sf_dir)
+    start = led.tx.filter("height % 50 = 0").select("txid")
+    return trace.provenance(start, led.io, led.spends, source.tag_frame(spark, sf_dir))
+
+
+@registered(""", s0 AS (SELECT o.txid, o.idx, 1 AS paths FROM outs o JOIN tx t USING (txid) WHERE t.height % 50 = 0),
+  s1 AS (SELECT o.txid, o.idx FROM (SELECT DISTINCT c.spending_txid FROM s0 JOIN coins c USING (txid, idx) WHERE c.spending_txid IS NOT NULL) p JOIN outs o ON o.txid = p.spending_txid),
+  s2 AS (SELECT o.txid, o.idx FROM (SELECT DISTINCT c.spending_txid FROM s1 JOIN coins c USING (txid, idx) WHERE c.spending_txid IS NOT NULL) p JOIN outs o ON o.txid = p.spending_txid)
+  SELECT hop, count(*) AS coins, CASE hop WHEN 2 THEN 0.8 ELSE 1.0 END::DOUBLE AS confidence FROM (SELECT 0 AS hop FROM s0 UNION ALL SELECT 1 FROM s1 UNION ALL SELECT 2 FROM s2) GROUP BY hop""")
+def trail_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trail = coin_trail(spark, sf_dir).groupBy("hop").agg(F.count("*").alias("coins"))
+    return trail.withColumn("confidence", forensics.path_confidence(F.col("hop")))
+
+
+# Parts of the graph and of the report by themselves
+
+
+@registered(""", top AS (SELECT * FROM coins QUALIFY row_number() OVER (PARTITION BY address ORDER BY amount DESC, txid, idx) <= 3),
+  s AS (SELECT address, spending_txid, sum(amount) AS u_in FROM top WHERE spending_txid IS NOT NULL GROUP BY ALL)
+  SELECT s.address, p.other, CAST(sum(CAST(p.v_out AS HUGEINT) * 1000 * CAST(s.u_in AS HUGEINT) // nullif(t.total_in, 0)) AS BIGINT) AS value_milli, count(DISTINCT s.spending_txid) AS tx_count
+  FROM s JOIN tx t ON t.txid = s.spending_txid JOIN paid p USING (spending_txid) GROUP BY ALL""")
+def largest_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Haircut edges of each address's three largest coins."""
     led = source.derive(spark, sf_dir)
-    start = led.tx.filter("height % 400 = 399").select("txid")
-    return trace.provenance(start, led.io, led.spends, source.tag_frame(spark, sf_dir), 3)
+    every = led.outs().select("address").distinct()
+    return trace.outgoing_edges(every, led.io, led.spends, led.tx, None, 3).select("address", "other", "value_milli", "tx_count")
+
+
+@registered("""SELECT origin, "from", "to", dir, value_sats FROM both_ways""")
+def both_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hop on and one hop back from every 50th customer's address."""
+    return _graph(spark, sf_dir, "both", 1).edges.select("origin", "from", "to", "dir", "value_sats")
+
+
+@registered(""", kept AS (SELECT origin, origin AS a FROM origins UNION SELECT origin, "from" FROM both_ways b WHERE dir = 'in' AND NOT EXISTS (SELECT 1 FROM both_ways x WHERE x.dir = 'out' AND x.origin = b.origin AND x."to" = b."from"))
+  SELECT b.origin, "from", "to", dir, value_sats FROM both_ways b JOIN kept k ON k.origin = b.origin AND k.a = b."from" JOIN kept l ON l.origin = b.origin AND l.a = b."to" """)
+def incoming_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _graph(spark, sf_dir, "both", 1)
+    return report.one_direction(g.nodes, g.edges, "in")[1].select("origin", "from", "to", "dir", "value_sats")
+
+
+@registered("""SELECT origin, coalesce('ent:' || entity, address) AS key, round(sum(received_sats / 1e8), 6) AS total_received_btc, CAST(min(depth) AS INTEGER) AS depth, max(entity_category) AS entity_category,
+  string_agg(address, ' ' ORDER BY address) AS members FROM nodes GROUP BY ALL""")
+def collapsed_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _graph(spark, sf_dir)
+    merged = report.collapse_entities(g.nodes, g.edges)[0]
+    return merged.select(
+        "origin", "key", F.round("total_received_btc", 6).alias("total_received_btc"), "depth", "entity_category", F.array_join("members", " ").alias("members")
+    )
+
+
+@registered("""SELECT e.origin, "from", "to", value_sats, n.entity FROM edges e LEFT JOIN nodes n ON n.origin = e.origin AND n.address = e."to" WHERE contains(lower(concat_ws(chr(10), "from", "to", n.entity)), 'a7')""")
+def search_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _graph(spark, sf_dir)
+    return report.search_flows(g.edges, g.nodes, "A7").select("origin", "from", "to", "value_sats", "entity")
+
+
+@registered(""", up AS (SELECT l.origin, l.other, arg_min(l.address, struct_pack(a := p.rank, b := l.rank)) AS parent FROM lvl1 l JOIN lvl0 p ON p.origin = l.origin AND p.other = l.address GROUP BY ALL)
+  SELECT n.origin, n.address, CASE depth WHEN 0 THEN n.address WHEN 1 THEN n.address || ' ' || n.origin ELSE n.address || ' ' || up.parent || ' ' || n.origin END AS path
+  FROM node0 n LEFT JOIN up ON up.origin = n.origin AND up.other = n.address""")
+def paths_to_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.paths_to_origin(_graph(spark, sf_dir).nodes).withColumn("path", F.array_join("path", " "))
+
+
+# Small operators by themselves
+
+
+@registered("SELECT address, CASE WHEN address LIKE '1%' THEN 'p2pkh' WHEN address LIKE '3%' THEN 'p2sh' WHEN address LIKE 'bc1p%' THEN 'taproot' WHEN address LIKE 'bc1q%' THEN 'bech32' ELSE 'unknown' END AS kind, count(*) AS n FROM outs GROUP BY ALL")
+def address_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outs = source.derive(spark, sf_dir).outs()
+    return outs.groupBy("address", scalars.address_type(F.col("address")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+_SCRIPT = "case o_orderkey % 3 when 0 then concat('2102', {0}, 'ac') when 1 then concat('4104', {0}, {0}, 'AC') else concat('76a914', substr({0}, 1, 40), '88ac') end"
+
+
+@registered("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN concat('02', sha256(concat('k', o_orderkey))) WHEN 1 THEN concat('04', sha256(concat('k', o_orderkey)), sha256(concat('k', o_orderkey))) END AS pubkey FROM orders")
+def script_pubkeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of scripts made from order numbers: short keys, long keys, and scripts without one."""
+    script = F.expr(_SCRIPT.format("sha2(concat('k', o_orderkey), 256)"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.select("o_orderkey", scalars.pubkey_of_script(script).alias("pubkey"))
+
+
+@registered(f"SELECT address, source, entity_name FROM tags WHERE NOT (address = {_ADDRESS.format('2')} AND source = 'beta')")
+def remove_tags_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_tags(source.tag_frame(spark, sf_dir), _address(spark, 2), "beta").select("address", "source", "entity_name")
+
+
+@registered(f"SELECT address, source, entity_name, category, confidence FROM tags UNION ALL SELECT {_ADDRESS.format('2')}, 'user', 'By hand', 'scam', 0.8::DOUBLE")
+def add_tag_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_tag(spark, source.tag_frame(spark, sf_dir), _address(spark, 2), "By hand", "scam").drop("reference")
+
+
+def _address(spark: SparkSession, customer: int) -> str:
+    return spark.range(1).select(F.lit(customer).alias("k")).select(source._address_of("k")).first()[0]
+
+
+@registered("SELECT txid, io_type, idx, amount FROM io WHERE amount % 7 > 1 AND idx % 5 > 0")
+def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some rows made unsound: amounts below 0, no address, an unknown direction."""
+    io = source.derive(spark, sf_dir).io
+    odd = io.withColumn("amount", F.when(F.col("amount") % 7 == 0, -F.col("amount")).otherwise(F.col("amount")))
+    odd = odd.withColumn("address", F.when(F.col("amount") % 7 != 1, F.col("address")))
+    odd = odd.withColumn("io_type", F.when(F.col("idx") % 5 == 0, "side").otherwise(F.col("io_type")))
+    return valid_io(odd).select("txid", "io_type", "idx", "amount")
+
+
+@registered("""SELECT t.height, t.txid, 2 AS version, 0::BIGINT AS locktime, CASE WHEN s.n IS NULL THEN '00' END AS coinbase, CAST(coalesce(d.n, 0) AS INTEGER) AS payloads, CAST(coalesce(s.n, 1) AS INTEGER) AS inputs
+  FROM tx t LEFT JOIN (SELECT txid, count(*) AS n FROM raw WHERE dropped GROUP BY ALL) d ON d.txid = t.txid LEFT JOIN (SELECT spending_txid, count(*) AS n FROM spends GROUP BY ALL) s ON s.spending_txid = t.txid""")
+def left_behind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dropped_fields(parse_blocks(block_documents(source.derive(spark, sf_dir))))
+    return rows.select(
+        "height", "txid", "version", "locktime", "coinbase", F.greatest(F.size("payloads"), F.lit(0)).alias("payloads"), F.size("sequences").alias("inputs")
+    )
+
+
+@registered("SELECT k AS kind, k IN (SELECT address_type FROM io) AS present FROM (VALUES ('p2pkh'), ('p2pk'), ('unknown')) v(k)")
+def type_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    io = source.derive(spark, sf_dir).io
+    probes = [coverage.has_type(io, kind) for kind in ("p2pkh", "p2pk", "unknown")]
+    return probes[0].unionByName(probes[1]).unionByName(probes[2])
+
+
+@registered("SELECT height FROM status WHERE address_status = 'in_progress' AND updated_at < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 15 MINUTE")
+def stale_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.stale(source.status_frame(source.derive(spark, sf_dir)), "1998-01-01 00:00:00").select("height")

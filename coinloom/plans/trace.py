@@ -5,6 +5,7 @@ Every step takes a frame of addresses, not one address; a level of the search is
 
 from __future__ import annotations
 
+import itertools
 import logging
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ class Limits:
     depth: int = 3
     fanout: int = 10
     max_nodes: int = 750
-    max_coins: int = 2_000
+    max_coins: int | None = 2_000
     hub_outputs: int = HUB_OUTPUTS
 
 
@@ -98,7 +99,10 @@ def incoming_edges(
     if max_coins is not None:
         first = Window.partitionBy("address").orderBy("txid")
         got = got.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= max_coins)
-    counts = spends.groupBy(F.col("spending_txid").alias("txid")).agg(F.count("*").alias("n_inputs"))
+    used = got.select(F.col("txid").alias("spending_txid")).distinct()
+    counts = (
+        spends.join(used, "spending_txid", "left_semi").groupBy(F.col("spending_txid").alias("txid")).agg(F.count("*").alias("n_inputs"))
+    )
     share = F.expr("cast(amount as decimal(18,0)) * cast(u_out as decimal(18,0)) div cast(nullif(total_out, 0) as decimal(18,0))")
     funders = io.filter("io_type = 'in' and address is not null").select("txid", F.col("address").alias("other"), "amount")
     edges = (
@@ -117,22 +121,26 @@ def incoming_edges(
     return _ranked(edges, fanout)
 
 
-def co_spent(origins: DataFrame, io: DataFrame, spends: DataFrame, tx_cap: int = 2_000, addr_cap: int = 8_000) -> DataFrame:
+def co_spent(
+    origins: DataFrame, io: DataFrame, spends: DataFrame, tx_cap: int | None = 2_000, addr_cap: int | None = 8_000
+) -> DataFrame:
     """`origin, address`: one round of common inputs, with the origin itself; not transitive on purpose.
 
-    The caps take the lowest transaction ids and addresses.
+    The caps take the lowest transaction ids and addresses; None takes all.
     """
     outs = io.filter("io_type = 'out'").join(
         origins.select(F.col("origin").alias("address")).distinct(), "address", "left_semi"
     )
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     used = outs.join(edge, ["txid", "idx"]).select(F.col("address").alias("origin"), F.col("spending_txid").alias("txid")).distinct()
-    first = Window.partitionBy("origin").orderBy("txid")
-    used = used.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= tx_cap).drop("_n")
+    if tx_cap is not None:
+        first = Window.partitionBy("origin").orderBy("txid")
+        used = used.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= tx_cap).drop("_n")
     ins = io.filter("io_type = 'in' and address is not null").select("txid", "address")
     near = used.join(ins, "txid").select("origin", "address").distinct()
-    low = Window.partitionBy("origin").orderBy("address")
-    near = near.withColumn("_n", F.row_number().over(low)).filter(F.col("_n") <= addr_cap).drop("_n")
+    if addr_cap is not None:
+        low = Window.partitionBy("origin").orderBy("address")
+        near = near.withColumn("_n", F.row_number().over(low)).filter(F.col("_n") <= addr_cap).drop("_n")
     return near.unionByName(origins.select("origin", F.col("origin").alias("address"))).distinct()
 
 
@@ -178,7 +186,6 @@ def build_graph(
     size_warning(limits)
     origins = staged(origins.select("origin").distinct())
     members = staged(co_spent(origins, io, spends) if cluster else origins.select("origin", F.col("origin").alias("address")))
-    hubs = staged(output_counts(io).filter(F.col("n_outputs") > limits.hub_outputs).select("address"))
     nodes = origins.select(
         "origin", F.col("origin").alias("address"), F.lit(0).alias("depth"), F.lit("origin").alias("side"),
         F.lit(False).alias("truncated"), F.lit(None).cast("string").alias("parent"),
@@ -189,13 +196,14 @@ def build_graph(
         frontier = origins.select("origin", F.col("origin").alias("address"), F.lit(0).cast("long").alias("ord"))
         seen = frontier.select("origin", "address")
         for depth in range(limits.depth):
+            hubs = _hubs(frontier, io, limits.hub_outputs)
             open_nodes = frontier.join(hubs, "address", "left_anti").unionByName(
                 frontier.join(hubs, "address", "left_semi").filter("address = origin")
             )
             step = outgoing_edges if side == "out" else incoming_edges
             found = step(open_nodes, io, spends, tx, limits.fanout, limits.max_coins)
             level = open_nodes.join(found.drop("value_milli"), "address").withColumn("rank", F.col("rank").cast("long"))
-            level = _capped(level, nodes, limits.max_nodes)
+            level = _capped(level, nodes, limits.max_nodes, depth == 0)
             level = staged(level.withColumn("depth", F.lit(depth)).withColumn("dir", F.lit(side)))
             full = level.groupBy("origin", "address").agg(F.count("*").alias("n")).filter(F.col("n") >= limits.fanout)
             cut_marks.append(full.select("origin", "address"))
@@ -227,15 +235,21 @@ def build_graph(
     for m in cut_marks[1:]:
         marks = marks.unionByName(m)
     return Graph(
-        _node_frame(nodes, marks.distinct(), members, hubs, io, tags),
+        _node_frame(nodes, marks.distinct(), members, _hubs(nodes, io, limits.hub_outputs), io, tags),
         _edge_frame(edges, members),
         members,
         _edge_frame_incoming(origins, members, io, spends, tx, limits),
     )
 
 
-def _capped(level: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """Edges up to and with the one that makes the number of nodes reach the cap.
+def _hubs(rows: DataFrame, io: DataFrame, most: int) -> DataFrame:
+    """Those addresses of `rows` that have more than `most` outputs."""
+    wanted = rows.select("address").distinct()
+    return output_counts(io.join(wanted, "address", "left_semi")).filter(F.col("n_outputs") > most).select("address")
+
+
+def _capped(level: DataFrame, nodes: DataFrame, most: int, first_level: bool) -> DataFrame:
+    """Edges up to and with the one that makes the number of nodes reach the cap; the first edge of a pass always.
 
     Edges are numbered in the order of the search; each origin has at most fanout times its frontier.
     """
@@ -249,7 +263,7 @@ def _capped(level: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
         .withColumn("_new", F.when(F.col("_old").isNull() & (F.row_number().over(first) == 1), 1).otherwise(0))
         .withColumn("_before", F.coalesce(F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("_nth", F.row_number().over(order))
-        .filter((F.col("_have") + F.col("_before") < most) | (F.col("_nth") == 1))
+        .filter((F.col("_have") + F.col("_before") < most) | (F.lit(first_level) & (F.col("_nth") == 1)))
         .drop("_have", "_old", "_new", "_before", "_nth")
     )
 
@@ -364,20 +378,22 @@ def coin_trail(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int) ->
     return whole.join(outs, ["txid", "idx"])
 
 
-def provenance(start: DataFrame, io: DataFrame, spends: DataFrame, tags: DataFrame, hops: int) -> DataFrame:
-    """`hop, txid, n_coinbase, tagged`: transactions behind each start transaction (txid), back to those
-    without inputs or with a tagged funder, where the walk stops."""
+def provenance(start: DataFrame, io: DataFrame, spends: DataFrame, tags: DataFrame, hops: int | None = None) -> DataFrame:
+    """`hop, txid, is_coinbase, is_tagged`: transactions behind each start transaction (txid), back to those
+    without inputs or with a tagged funder, where the walk stops; without `hops` all the way."""
     ins = io.filter("io_type = 'in'").select("txid", "address").distinct()
     stops = ins.join(tags.select("address").distinct(), "address", "left_semi").select("txid").distinct()
     edge = spends.select(F.col("spending_txid").alias("txid"), "prev_txid").distinct()
     at = start.select("txid").distinct().withColumn("hop", F.lit(0))
     whole = at
-    for hop in range(1, hops + 1):
+    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         at = staged(
             at.join(stops, "txid", "left_anti").join(edge, "txid").select(F.col("prev_txid").alias("txid")).distinct()
             .join(whole.select("txid"), "txid", "left_anti").withColumn("hop", F.lit(hop))
         )
-        whole = staged(whole.unionByName(at))
+        if at.isEmpty():
+            break
+        whole = whole.unionByName(at)
     return (
         whole.join(stops.withColumn("_t", F.lit(True)), "txid", "left")
         .join(edge.select("txid").distinct().withColumn("_e", F.lit(True)), "txid", "left")

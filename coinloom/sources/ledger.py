@@ -1,7 +1,9 @@
 """A deterministic ledger derived from orders, line items and customers.
 
 Orders are transactions, line items their outputs; an output of a customer is spent by that
-customer's next order. So every operator can be run, and checked, on tables of any size.
+customer's next order. Some families of three customers spend with one wallet, that of their first
+member, and lines of one discount pay to an address of their own. So every operator can be run, and
+checked, on tables of any size.
 """
 
 from __future__ import annotations
@@ -35,9 +37,18 @@ def sha(*parts) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def _address_of(owner: str) -> Column:
+def _address_of(owner: str, single: str | None = None) -> Column:
+    """The owner's address, or where the flag `single` holds one of the coin's own."""
     prefix = F.expr(f"case pmod({owner}, 5) when 1 then '3' when 2 then 'bc1q' when 3 then 'bc1p' else '1' end")
-    return F.concat(prefix, F.substring(sha(F.lit("addr:"), F.col(owner).cast("string")), 1, 32))
+    body = sha(F.lit("addr:"), F.col(owner).cast("string"))
+    if single is not None:
+        body = F.when(F.col(single), sha(F.lit("coin:"), F.col("txid"), F.lit(":"), F.col("idx").cast("string"))).otherwise(body)
+    return F.concat(prefix, F.substring(body, 1, 32))
+
+
+def _wallet_of(owner: str) -> Column:
+    """Who spends an owner's coins: of customers 0 to 5 of every 30, the first of each three."""
+    return F.expr(f"case when pmod({owner}, 30) < 6 then {owner} - pmod({owner}, 3) else {owner} end")
 
 
 def _type_of(owner: str) -> Column:
@@ -81,19 +92,20 @@ def _derive(spark: SparkSession, sf_dir: str) -> Ledger:
                 (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17) % n_customers
             ),
         )
+        .withColumn("single", F.round(F.col("l_discount") * 100) == 7)
         .select(
             "txid", "block_hash", "height", "received_time", "o_orderkey", "o_custkey", "idx", "owner",
             F.round(F.col("l_extendedprice") * 100).cast("long").alias("amount"),
             (F.col("l_tax") == 0).alias("dropped"),
-            _address_of("owner").alias("address"),
+            _address_of("owner", "single").alias("address"),
             _type_of("owner").alias("address_type"),
         )
     )
     coins = raw.filter("not dropped")
-    # The next order of a coin's owner: read backwards in time, the last order seen before the coin.
+    # The next order of a coin's wallet: read backwards in time, the last order seen before the coin.
     null = lambda kind: F.lit(None).cast(kind)
     events = coins.select(
-        F.col("owner").alias("who"), "received_time", "o_orderkey", F.lit(0).alias("kind"),
+        _wallet_of("owner").alias("who"), "received_time", "o_orderkey", F.lit(0).alias("kind"),
         "txid", "idx", "address", "address_type", "amount",
         null("struct<txid:string,height:int,block_hash:string,received_time:timestamp>").alias("next"),
     ).unionByName(

@@ -149,6 +149,30 @@ def test_wallet_clusters(spark):
     assert plain(forensics.wallet_clusters(io), "node", "component") == [("a", "a"), ("b", "a"), ("c", "a")]
 
 
+def test_chains_longer_than_any_cap(spark):
+    """A chain of 70 transactions, and a circle, which is refused."""
+    io = [(f"t{k}", f"a{k}", "x", 9, "out", 0) for k in range(70)] + [(f"t{k}", f"b{k}", "x", 1, "out", 1) for k in range(70)]
+    io += [("u", "z", "x", 9, "out", 0), ("u", "y", "x", 9, "out", 1)]
+    spends = [(f"t{k}", 0, f"t{k + 1}", 0, k, "h", None) for k in range(69)]
+    io, edges = spark.createDataFrame(io, S.TX_IO), spark.createDataFrame(spends, S.SPENDS)
+    got = {r.txid: r.length for r in forensics.peel_chains(io, edges).collect()}
+    assert got == {f"t{k}": 70 - k for k in range(70)}
+    circle = edges.unionByName(spark.createDataFrame([("t69", 0, "t0", 0, 70, "h", None)], S.SPENDS))
+    with pytest.raises(RuntimeError):
+        forensics.peel_chains(io, circle, max_rounds=3)
+
+
+def test_prices_inside_a_day(spark, tmp_path):
+    from coinloom.sources.tags import read_prices
+
+    (tmp_path / "p.csv").write_text("ts,currency,price,source\n# remark\n2020-01-02 10:00:00,USD,5,x\n2020-01-02 12:00:00,USD,6,x\n2020-01-04 00:00:00,USD,7.5,x\n2020-01-02 11:00:00,GBP,99,x\n")
+    prices = read_prices(spark, str(tmp_path / "p.csv"))
+    times = ["2020-01-01 23:00:00", "2020-01-02 09:59:59", "2020-01-02 10:00:00", "2020-01-02 11:59:59", "2020-01-02 12:00:00", "2020-01-03 05:00:00", "2020-01-04 00:00:00", "2021-05-01 00:00:00"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(times)] + [(8, None)], "i int, s string").selectExpr("i", "cast(s as timestamp) as t")
+    got = {r.i: None if r.price is None else float(r.price) for r in forensics.price_at(rows, "t", prices, "USD").collect()}
+    assert got == {0: None, 1: None, 2: 5, 3: 5, 4: 6, 5: 6, 6: 7.5, 7: 7.5, 8: None}
+
+
 def test_last_in_first_out(spark):
     io = spark.createDataFrame(
         [("t", "a", "x", 5, "in", 0), ("t", "b", "x", 3, "in", 1), ("t", "c", "x", 4, "out", 0), ("t", "d", "x", 4, "out", 1)], S.TX_IO
