@@ -23,9 +23,8 @@ from coinloom.operators.scratch import staged
 # Directions that a vector exceeds, on average: so many for each factor of ten in the largest label above 1,000
 # vectors, and for 10,000 at least. Caps shrink as labels grow, so that CROWD vectors of one lie under a direction;
 # the longer lists keep the chance that a link shares no direction alike.
-LIST, CROWD = 16, 256
-# A vector with fewer directions above the threshold than this share of the list gets its best ones, so many.
-LEAST = 0.75
+LIST, CROWD = 24, 256
+# A vector with fewer directions above the threshold gets its best ones, so many.
 PROBES = 100
 BLOCK = 2048
 
@@ -43,13 +42,14 @@ class ProductCode:
         """A code for labels of `vectors` members at most: the more vectors, the more and the smaller caps.
 
         The threshold is set so that random unit vectors exceed a list's length of directions on
-        average. It is found from PROBES of them by counting, which takes about as many steps as a half
-        has codewords: the square root of `vectors`.
+        average; a vector that exceeds fewer gets that many of its best ones. It is found from PROBES of
+        them by counting, which takes about as many steps as a half has codewords: the square root of
+        `vectors`.
         """
         rng = np.random.default_rng(1729)
         half = max(1, (dim + 1) // 2)
         size = int(np.ceil(LIST * max(1.0, np.log10(max(vectors, 1)) - 3)))
-        width = int(np.ceil(np.sqrt(size * max(8.0, vectors / CROWD))))
+        width = max(1, int(np.ceil(np.sqrt(size * vectors / CROWD))))
         unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
         rotation = np.linalg.qr(rng.standard_normal((2 * half, 2 * half)))[0]
         first, second = (unit(rng.standard_normal((width, half))) for _ in range(2))
@@ -63,7 +63,7 @@ class ProductCode:
                 above = (len(b) - np.searchsorted(b, middle - a)).sum()
                 low, high = (middle, high) if above > size else (low, middle)
             cuts.append(low)
-        return ProductCode(rotation, first, second, float(np.mean(cuts)), int(np.ceil(LEAST * size)))
+        return ProductCode(rotation, first, second, float(np.mean(cuts)), size)
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Sorted numbers of all directions that each unit vector exceeds.
