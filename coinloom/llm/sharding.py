@@ -19,11 +19,11 @@ def assign_shards(rows: DataFrame, weight: Column, order: list[str], shards: int
     written to the shared scratch folder; sums of each partition, a prefix over those few sums, and
     a running sum inside each partition then give the global position without a global sort in one
     task. The weight must be positive; null order values come first; repeated rows are separate
-    rows; an empty table gives an empty table. Input columns named like the helpers are not allowed,
-    so callers select what they need first.
+    rows; an empty table gives an empty table. Columns are passed by place, so any names will do.
     """
-    keyed = rows.withColumn("_weight", weight.cast("long")).withColumn("_row", F.monotonically_increasing_id())
-    keys = [*order, "_row"]
+    columns = [f"c{i}" for i in range(len(rows.columns))]
+    keyed = rows.select("*", weight.cast("long")).toDF(*columns, "_weight").withColumn("_row", F.monotonically_increasing_id())
+    keys = [*(columns[rows.columns.index(k)] for k in order), "_row"]
     ranged = (
         keyed.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
@@ -56,7 +56,8 @@ def assign_shards(rows: DataFrame, weight: Column, order: list[str], shards: int
     return (
         placed.join(F.broadcast(firsts), "shard")  # one row for each shard
         .withColumn("slot", F.col("_rank") - F.col("_first"))
-        .select(*rows.columns, "shard", "slot")
+        .select(*columns, "shard", "slot")
+        .toDF(*rows.columns, "shard", "slot")
     )
 
 

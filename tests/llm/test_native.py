@@ -93,6 +93,14 @@ def test_shards_are_even_and_gapless(spark, small):
     assert all(r["size"] == len(texts[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in rows)
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["doc_id", "_weight", "shard", "a.b", "_part", "_at"]
+    rows = spark.createDataFrame([(i, 1, f"s{i}", i, None, -i) for i in range(40)], "doc_id long, _weight int, shard string, `a.b` int, _part string, _at int")
+    got = sharding.assign_shards(rows, F.lit(1), ["doc_id"], 4)
+    assert got.columns == [*names, "shard", "slot"]
+    assert sorted((r[0], r[2], r[6], r[7]) for r in got.collect()) == [(i, f"s{i}", i // 10, i % 10) for i in range(40)]
+
+
 def test_shards_of_odd_tables(spark):
     assert sharding.shard_documents(docs_of(spark, ["x"]).limit(0)).count() == 0
     same = spark.createDataFrame([(None, None)] * 20 + [(5, "é")] * 20, "doc_id long, text string").withColumn("size", F.lit(9))
