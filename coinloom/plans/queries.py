@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from coinloom.functions import scalars
 from coinloom.operators import balances, coverage, forensics
 from coinloom.operators.flatten import Flat, derived_status, dropped_fields, flatten, valid_io
+from coinloom.operators.scratch import staged
 from coinloom.operators.upsert import add_tag, fill_total_in, insert_io, insert_spends, remove_tags, resolve_missing_inputs, upsert_tags, upsert_transactions
 from coinloom.plans import report, trace
 from coinloom.sources import ledger as source
@@ -141,8 +142,15 @@ def registered(sql: str | None) -> Callable[[Query], Query]:
     return add
 
 
+_parsed: dict[tuple[str, str, bool], DataFrame] = {}
+
+
 def _flat(spark: SparkSession, sf_dir: str, prevouts: bool = True) -> Flat:
-    return flatten(parse_blocks(block_documents(source.derive(spark, sf_dir), prevouts)))
+    """The ledger's block documents, parsed once per session and folder; each frame reads the columns that it needs."""
+    key = (spark.sparkContext.applicationId, sf_dir, prevouts)
+    if key not in _parsed:
+        _parsed[key] = staged(parse_blocks(block_documents(source.derive(spark, sf_dir), prevouts)))
+    return flatten(_parsed[key])
 
 
 def _origins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -891,7 +899,8 @@ def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("""SELECT t.height, t.txid, 2 AS version, 0::BIGINT AS locktime, CASE WHEN s.n IS NULL THEN '00' END AS coinbase, CAST(coalesce(d.n, 0) AS INTEGER) AS payloads, CAST(coalesce(s.n, 1) AS INTEGER) AS inputs
   FROM tx t LEFT JOIN (SELECT txid, count(*) AS n FROM raw WHERE dropped GROUP BY ALL) d ON d.txid = t.txid LEFT JOIN (SELECT spending_txid, count(*) AS n FROM spends GROUP BY ALL) s ON s.spending_txid = t.txid""")
 def left_behind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dropped_fields(parse_blocks(block_documents(source.derive(spark, sf_dir))))
+    _flat(spark, sf_dir)
+    rows = dropped_fields(_parsed[spark.sparkContext.applicationId, sf_dir, True])
     return rows.select(
         "height", "txid", "version", "locktime", "coinbase", F.greatest(F.size("payloads"), F.lit(0)).alias("payloads"), F.size("sequences").alias("inputs")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinloom.operators.upsert import first_of_each
@@ -33,11 +33,12 @@ def read_generic_csv(
     rows = spark.read.option("comment", "#").csv(path, schema="c0 string, c1 string, c2 string").select(
         "*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
     )
-    first = F.row_number().over(Window.partitionBy("file").orderBy("at")) == 1
+    first = rows.groupBy("file").agg(F.min("at").alias("at")).withColumn("_first", F.lit(True))
     heading = F.lower(F.trim("c0")).isin("address", "addr")
     cell = lambda c: F.nullif(F.trim(c), F.lit(""))
     return (
-        rows.withColumn("_head", first & heading)
+        rows.join(first, ["file", "at"], "left")
+        .withColumn("_head", F.col("_first") & heading)
         .filter(~F.coalesce("_head", F.lit(False)) & cell("c0").isNotNull())
         .select(
             cell("c0").alias("address"), F.lit(source).alias("source"), F.coalesce(cell("c1"), F.lit(source)).alias("entity_name"),
