@@ -72,3 +72,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars * times)::BIGINT AS formatted_chars
 FROM each GROUP BY conv_id
 """
+
+FILL_IN_MIDDLE = """
+WITH base AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+hashed AS (SELECT *, list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(h, k, 8))::BIGINT) AS v FROM base),
+chosen AS (
+  SELECT doc_id, t, n, least(v[1] % (n + 1), v[2] % (n + 1)) AS a, greatest(v[1] % (n + 1), v[2] % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR v[3] % 100 >= 90 THEN 'plain'
+              WHEN v[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM chosen)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+_TERMS = (
+    "unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+)
+
+LEXICAL_SEARCH = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*) AS nd, sum(n)::BIGINT AS al FROM size),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, nd),
+impact AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // al)) AS i FROM tf JOIN size USING (doc_id), whole),
+scored AS (
+  SELECT item_id, doc_id, sum(w * i)::BIGINT AS score FROM asked JOIN weights USING (term) JOIN impact USING (term) GROUP BY item_id, doc_id HAVING sum(w * i) > 0),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 10
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.llm import cap_filters, chaining, chat, decontam, oracles, pieces, pii, sharding, toxicity, weighted_minhash, wrappers
+from coinloom.llm import (
+    cap_filters, chaining, chat, decontam, frames, lexical, oracles, packing, pieces, pii, sharding, toxicity, weighted_minhash, wrappers,
+)
 from coinloom.llm.common import table
 
 
@@ -61,6 +63,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.digest_outputs(frames.fill_in_middle(frames.store_frames(table(spark, sf_dir, "documents"))))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=10)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces_of = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+    return packing.pack(pieces_of, capacity=2048)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
 
@@ -85,4 +105,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_sharding": oracles.SHARDING,
     "op4_embeddings": oracles.EMBEDDINGS,
     "op8_chat": oracles.CHAT,
+    "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op12_lexical_search": oracles.LEXICAL_SEARCH,
 }
