@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 SPACE, LETTER, DIGIT, MARK = 0, 1, 2, 3
-#: Words kept with their ids in a Python worker; beyond, the store starts anew.
-MOST_WORDS = 300_000
-STRETCH = 1_000_000
+#: Words kept with their ids in a Python worker; beyond, the rarer half goes.
+MOST_WORDS = 500_000
+STRETCH = 4_000_000
 _S, _T, _M, _D, _R, _E, _V, _L = (ord(c) for c in "stmdrevl")
 
 
@@ -38,7 +38,8 @@ class ByteTokenizer:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.classes = np.full(0x110000, 255, np.uint8)
         self._learn(np.arange(128))
-        self.known: dict[bytes, np.ndarray] = {}
+        self.place: dict[bytes, int] = {}
+        self.flat, self.length, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, points: np.ndarray) -> None:
         """Ask the splitter which class each code point joins."""
@@ -95,36 +96,50 @@ class ByteTokenizer:
         starts = _word_starts(points, kind, begins)
         at = np.flatnonzero(starts[:-1])
         raw = whole.encode()
-        if len(raw) == len(points):
-            offsets = np.append(at, len(raw))
-        else:
-            width = 1 + (points > 0x7F) + (points > 0x7FF).astype(np.int64) + (points > 0xFFFF)
-            offsets = np.concatenate([[0], np.cumsum(width)])[np.append(at, len(points))]
+        offsets = np.append(at, len(raw))
+        if len(raw) != len(points):
+            offsets[:-1] = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)[at]
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)]
         ).dictionary_encode()
-        table = self._ids_of(words.dictionary.to_pylist())
-        which = words.indices.to_numpy()
-        lengths = np.array([len(t) for t in table], np.int64)
-        flat = np.concatenate(table)
-        first = np.cumsum(lengths) - lengths
-        n = lengths[which]
+        place = self._places(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        first = np.cumsum(self.length) - self.length
+        n = self.length[place]
         stop = np.cumsum(n)
-        ids = flat[np.arange(stop[-1]) + np.repeat(first[which] - (stop - n), n)]
+        ids = self.flat[np.arange(stop[-1]) + np.repeat(first[place] - (stop - n), n)]
         words_before = np.searchsorted(at, ends)
         tokens_before = np.concatenate([[0], stop])[words_before]
         return ids, np.diff(tokens_before, prepend=0)
 
-    def _ids_of(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known, new = {}, words
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        """Where the store keeps each of these distinct words; new ones go through the library first."""
+        at = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(self.place) + len(new) > MOST_WORDS and self.place:
+            self._forget()
+            return self._places(words)
         # Small lots: an encoding of the library is many times as large as its ids.
-        for at in range(0, len(new), 4096):
-            lot = new[at : at + 4096]
-            for w, e in zip(lot, self.library.encode_batch([w.decode() for w in lot], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, np.uint32)
-        return [self.known[w] for w in words]
+        for lot in np.array_split(new, -(-len(new) // 4096) or 1):
+            if not len(lot):
+                continue
+            own = [words[k] for k in lot.tolist()]
+            said = self.library.encode([w.decode() for w in own], is_pretokenized=True, add_special_tokens=False)
+            at[lot] = np.arange(len(self.length), len(self.length) + len(own))
+            self.place.update(zip(own, at[lot].tolist(), strict=True))
+            self.length = np.concatenate([self.length, np.bincount(np.array(said.word_ids, np.int64), minlength=len(own))])
+            self.flat = np.concatenate([self.flat, np.array(said.ids, np.uint32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.length) - len(self.uses), np.int64)])
+        self.uses[at] += 1
+        return at
+
+    def _forget(self) -> None:
+        """Keep the half of the words that most batches had."""
+        keep = np.zeros(len(self.length), bool)
+        keep[np.argsort(-self.uses, kind="stable")[: MOST_WORDS // 2]] = len(self.place) > MOST_WORDS // 2
+        self.flat = self.flat[np.repeat(keep, self.length)]
+        moved = np.cumsum(keep) - 1
+        self.place = {w: int(moved[k]) for w, k in self.place.items() if keep[k]}
+        self.length, self.uses = self.length[keep], self.uses[keep] // 2
 
 
 def _stretches(text: str) -> list[str]:

@@ -120,7 +120,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
         for batch in batches:
-            for part in slices(batch, "text", 2048):
+            for part in slices(batch, "text", 4096, 4_000_000):
                 ids, counts = words.encode([t or "" for t in part.column("text").to_pylist()])
                 ids = np.insert(ids, np.cumsum(counts), 0).astype("<u4")
                 rows: list[tuple[int, int, int, int]] = []
