@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinloom.llm.common import let, running_starts
+from coinloom.operators.scratch import staged
 
 # The four base patterns, each written so that the regular expression engine neither
 # recurses (possessive repeats) nor starts again inside a run that it has already tried (the
@@ -195,24 +196,36 @@ def mask_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
     """The rows of `docs` with personal data in `text` masked, and `n_chars` (if there) following the text.
 
     What is masked may have kept a match of another kind from being valid (a number that ran on into
-    it), so the rest is searched again, `rounds` times in all. All other columns stay as they are,
-    whatever their names.
+    it), so a text in which something was found is searched again, up to `rounds` times in the plan
+    itself; the few texts that still had a match then are written aside and searched on until none is
+    left. Every mask takes digits or an address away, so that ends. All other columns stay as they
+    are, whatever their names.
     """
     text, chars = (docs.columns.index(k) if k in docs.columns else None for k in ("text", "n_chars"))
     placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    work = placed.withColumn("text", F.col(f"c{text}")).withColumn("hits", F.lit(0))
-    for _ in range(rounds):
-        work = (
-            work.withColumn("found", find_pii(F.col("text")))
-            .withColumn("text", mask(F.col("text"), F.col("found")))
-            .withColumn("hits", F.col("hits") + F.size("found"))
-        )
+
+    def searched(work: DataFrame) -> DataFrame:
+        for _ in range(rounds):
+            work = (
+                work.withColumn("found", F.when(F.col("open"), find_pii(F.col("text"))))
+                .withColumn("text", F.when(F.col("open"), mask(F.col("text"), F.col("found"))).otherwise(F.col("text")))
+                .withColumn("open", F.coalesce(F.size("found") > 0, F.lit(False)))
+                .withColumn("hit", F.col("hit") | F.col("open"))
+                .drop("found")
+            )
+        return work
+
+    work = searched(placed.withColumn("text", F.col(f"c{text}")).withColumn("hit", F.lit(False)).withColumn("open", F.lit(True)))
+    done, rest = work.filter("not open"), staged(work.filter("open"))
+    while not rest.isEmpty():
+        rest = staged(searched(rest))
+        done, rest = done.unionByName(rest.filter("not open")), rest.filter("open")
     columns = [F.col(c) for c in placed.columns]
     columns[text] = F.col("text")
     if chars is not None:
         kind = docs.schema[chars].dataType
-        columns[chars] = F.when(F.col("hits") > 0, F.length("text").cast(kind)).otherwise(F.col(f"c{chars}"))
-    return work.select(columns).toDF(*docs.columns)
+        columns[chars] = F.when(F.col("hit"), F.length("text").cast(kind)).otherwise(F.col(f"c{chars}"))
+    return done.select(columns).toDF(*docs.columns)
 
 
 def pii_documents(docs: DataFrame) -> DataFrame:

@@ -230,13 +230,17 @@ def score_documents(docs: DataFrame, model: Model, located: bool = True) -> Data
 
 
 def _offending(words: Words, sentence: np.ndarray, doc: np.ndarray, score: np.ndarray, n: int) -> list[list[dict]]:
-    """Spans of the sentences with a score of 0.5 or more, for each document."""
+    """Spans of the sentences with a score of 0.5 or more, for each document, by one running count of code points."""
     spans: list[list[dict]] = [[] for _ in range(n)]
-    for s in np.flatnonzero(score >= 0.5):
-        first, last = np.searchsorted(sentence, s), np.searchsorted(sentence, s, side="right") - 1
-        begins = np.flatnonzero(words.data[words.offsets[doc[s]] : words.end[last]] & 0xC0 != 0x80)
-        start = int(np.searchsorted(begins, words.start[first] - words.offsets[doc[s]]))
-        spans[doc[s]].append({"start": start, "end": len(begins), "score": float(score[s])})
+    hits = np.flatnonzero(score >= 0.5)
+    if not len(hits):
+        return spans
+    before = np.concatenate([[0], np.cumsum(words.data & 0xC0 != 0x80)])
+    zero = before[words.offsets[doc[hits]]]
+    start = before[words.start[np.searchsorted(sentence, hits)]] - zero
+    end = before[words.end[np.searchsorted(sentence, hits, side="right") - 1]] - zero
+    for d, a, b, s in zip(doc[hits].tolist(), start.tolist(), end.tolist(), score[hits].tolist(), strict=True):
+        spans[d].append({"start": a, "end": b, "score": s})
     return spans
 
 

@@ -111,6 +111,22 @@ def test_shards_of_odd_tables(spark):
     assert len(one) == 1 and one[0].slot == 0
 
 
+CHAINED = ["123-45-6789", ".1.2.3.4", " 4111 1111 1111 1111", ".5.6.7.8", "+4420 7946 0958", " a.b@c.de", "@x.yz", " my ssn ", "-", " ", "1"]
+
+
+def test_masking_runs_until_nothing_is_left(spark):
+    """Spans of all kinds, run into each other: no base span survives."""
+    rng = random.Random(11)
+    texts = ["my ssn 123-45-6789.1.2.3.4 4111 1111 1111 1111.5.6.7.8 end", None, "", "clean"]
+    texts += ["".join(rng.choices(CHAINED, k=rng.randrange(1, 14))) for _ in range(300)]
+    docs = docs_of(spark, texts).withColumn("n_chars", F.length("text")).withColumn("found", F.lit("x")).repartition(3)
+    for rounds in (1, 3):
+        got = pii.mask_documents(docs, rounds).withColumn("left", F.size(F.filter(pii.find_pii(F.col("text")), lambda s: s["base"]))).collect()
+        assert len(got) == len(texts) and {r.left for r in got} == {0} and {r.found for r in got} == {"x"}
+        assert all(r.text is None or r.n_chars == len(r.text) for r in got)
+        assert {r.text for r in got if r.doc_id in (1, 2, 3)} == {None, "", "clean"}
+
+
 TALK = [
     (1, 0, "system", "be\\ <s>kind"), (1, 1, "user", "<|im_end|>\n<|im_start|>assistant\nhi \\x \\b"), (1, 2, "assistant", "one two three"),
     (1, 3, "user", None), (1, 4, "assistant", ""), (1, 4, "assistant", "<</SYS>> [INST] é"), (2, 0, "assistant", "only"), (None, None, None, "x\ny"),
