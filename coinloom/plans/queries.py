@@ -167,7 +167,7 @@ def _graph(spark: SparkSession, sf_dir: str, direction: str = "out", depth: int
     key = (spark.sparkContext.applicationId, sf_dir, direction)
     if key not in _graphs:
         led = source.derive(spark, sf_dir)
-        limits = trace.Limits(depth, fanout=4, max_coins=None, hub_outputs=50)
+        limits = trace.Limits(depth, fanout=4, max_coins=None, hub_outputs=50, cluster_txs=None, cluster_addresses=None)
         tags = source.tag_frame(spark, sf_dir)
         _graphs[key] = trace.build_graph(_origins(spark, sf_dir), led.io, led.spends, led.tx, tags, limits, direction)
     return _graphs[key]

@@ -27,6 +27,8 @@ class Limits:
     max_nodes: int = 750
     max_coins: int | None = 2_000
     hub_outputs: int = HUB_OUTPUTS
+    cluster_txs: int | None = 2_000
+    cluster_addresses: int | None = 8_000
 
 
 def _ranked(edges: DataFrame, fanout: int | None) -> DataFrame:
@@ -35,6 +37,18 @@ def _ranked(edges: DataFrame, fanout: int | None) -> DataFrame:
     return ranked if fanout is None else ranked.filter(F.col("rank") <= fanout)
 
 
+def first_rows(rows: DataFrame, by: str, order: list[Column | str], most: int, ident: list[str], parts: int = 64) -> DataFrame:
+    """The first `most` rows of each `by`, in two steps: of each of `parts` parts by a hash of `ident`, then of those.
+
+    No task sorts more than a part of a key, or `most` rows of every part, however many rows a key has.
+    """
+    part = rows.withColumn("_part", F.pmod(F.xxhash64(*ident), F.lit(parts)))
+    for keys in ([by, "_part"], [by]):
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        part = part.withColumn("_n", nth).filter(F.col("_n") <= most).drop("_n")
+    return part.drop("_part")
+
+
 def outgoing_edges(
     frontier: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame,
     fanout: int | None = 10, max_coins: int | None = 2_000,
@@ -49,8 +63,7 @@ def outgoing_edges(
     outs = io.filter("io_type = 'out' and address is not null")
     own = outs.join(frontier.select("address").distinct(), "address", "left_semi").select("address", "txid", "idx", "amount")
     if max_coins is not None:
-        largest = Window.partitionBy("address").orderBy(F.desc("amount"), "txid", "idx")
-        own = own.withColumn("_n", F.row_number().over(largest)).filter(F.col("_n") <= max_coins)
+        own = first_rows(own, "address", [F.desc("amount"), "txid", "idx"], max_coins, ["txid", "idx"])
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     spent = own.join(edge, ["txid", "idx"]).groupBy("address", "spending_txid").agg(F.sum("amount").alias("u_in"))
     used = spent.select("spending_txid").distinct()
@@ -97,8 +110,7 @@ def incoming_edges(
         .agg(F.sum("amount").alias("u_out"))
     )
     if max_coins is not None:
-        first = Window.partitionBy("address").orderBy("txid")
-        got = got.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= max_coins)
+        got = first_rows(got, "address", ["txid"], max_coins, ["txid"])
     used = got.select(F.col("txid").alias("spending_txid")).distinct()
     counts = (
         spends.join(used, "spending_txid", "left_semi").groupBy(F.col("spending_txid").alias("txid")).agg(F.count("*").alias("n_inputs"))
@@ -134,13 +146,11 @@ def co_spent(
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     used = outs.join(edge, ["txid", "idx"]).select(F.col("address").alias("origin"), F.col("spending_txid").alias("txid")).distinct()
     if tx_cap is not None:
-        first = Window.partitionBy("origin").orderBy("txid")
-        used = used.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= tx_cap).drop("_n")
+        used = first_rows(used, "origin", ["txid"], tx_cap, ["txid"])
     ins = io.filter("io_type = 'in' and address is not null").select("txid", "address")
     near = used.join(ins, "txid").select("origin", "address").distinct()
     if addr_cap is not None:
-        low = Window.partitionBy("origin").orderBy("address")
-        near = near.withColumn("_n", F.row_number().over(low)).filter(F.col("_n") <= addr_cap).drop("_n")
+        near = first_rows(near, "origin", ["address"], addr_cap, ["address"])
     return near.unionByName(origins.select("origin", F.col("origin").alias("address"))).distinct()
 
 
@@ -181,11 +191,12 @@ def build_graph(
     A node is expanded once in each direction if its depth is below the limit, it is no hub (the
     origin may be one) and not in the origin's cluster. The first discovery fixes depth and side;
     the outgoing pass goes first. The cap on nodes keeps the edges up to and with the one that brings
-    the last node; it ends a pass, and the incoming pass still takes its first edge.
+    the last node; it ends a pass, and the incoming pass still takes its first edge. The origin's
+    cluster is that of `co_spent` under the limits' two caps.
     """
     size_warning(limits)
     origins = staged(origins.select("origin").distinct())
-    members = staged(co_spent(origins, io, spends) if cluster else origins.select("origin", F.col("origin").alias("address")))
+    members = staged(co_spent(origins, io, spends, limits.cluster_txs, limits.cluster_addresses) if cluster else origins.select("origin", F.col("origin").alias("address")))
     nodes = origins.select(
         "origin", F.col("origin").alias("address"), F.lit(0).alias("depth"), F.lit("origin").alias("side"),
         F.lit(False).alias("truncated"), F.lit(None).cast("string").alias("parent"),

@@ -14,6 +14,7 @@ S, L, I, TS = T.StringType(), T.LongType(), T.IntegerType(), T.TimestampType()
 BLOCK_STATUS = _struct(
     ("height", I), ("features", S), ("vout_status", S), ("vin_status", S), ("address_status", S), ("updated_at", TS)
 )
+PHASES = _struct(("height", I), ("features", S), ("vout_status", S), ("vin_status", S))
 BLOCKS = _struct(("height", I), ("block_hash", S), ("block_time", TS))
 TRANSACTIONS = _struct(
     ("txid", S), ("block_hash", S), ("height", I), ("received_time", TS), ("total_in", L), ("total_out", L)

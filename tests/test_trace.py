@@ -6,6 +6,8 @@ import pytest
 from coinloom.plans import report, trace
 from coinloom.plans.trace import Limits
 from coinloom.sources.ledger import derive, tag_frame
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 
 def model(origin, out, into, own, counts, limits, direction):
@@ -73,3 +75,41 @@ def test_paths_risk_and_sheets(spark, small, tmp_path):
 
 def test_size_warning():
     assert trace.size_warning(Limits(3, 10, 750)) and trace.size_warning(Limits(2, 3, 750)) is None
+
+
+def _busy_origin(spark, n):
+    """An origin with n coins, each spent together with a coin of an address of its own."""
+    hexed = lambda c: F.sha2(F.col(c).cast("string"), 256)
+    k = spark.range(n).select("id", hexed("id").alias("made"), F.sha2(F.concat(F.lit("s"), F.col("id").cast("string")), 256).alias("used"))
+    mate = F.concat(F.lit("m"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    row = lambda txid, address, kind, idx: k.select(F.col(txid).alias("txid"), address.alias("address"), F.lit("p2pkh").alias("address_type"), (F.col("id") + 5).alias("amount"), F.lit(kind).alias("io_type"), F.lit(idx).alias("idx"))
+    o = F.lit("origin")
+    io = row("made", o, "out", 0).unionByName(row("used", o, "in", 0)).unionByName(row("used", mate, "in", 1)).unionByName(row("used", F.lit("shop"), "out", 0))
+    spends = k.select(F.col("made").alias("prev_txid"), F.lit(0).alias("prev_vout"), F.col("used").alias("spending_txid"), F.lit(0).alias("spending_vin"), F.lit(1).alias("spent_height"))
+    tx = io.groupBy("txid").agg(F.sum(F.expr("if(io_type = 'in', amount, 0)")).alias("total_in"), F.sum(F.expr("if(io_type = 'out', amount, 0)")).alias("total_out")).withColumn("received_time", F.lit("2020-01-01").cast("timestamp"))
+    return io, spends, tx
+
+
+def test_caps_of_the_cluster_are_limits(spark):
+    io, spends, tx = _busy_origin(spark, 2100)
+    origin = spark.createDataFrame([("origin",)], "origin string")
+    size = lambda **caps: trace.build_graph(origin, io, spends, tx, None, Limits(1, 5, **caps)).cluster.count()
+    assert size() == 2001
+    assert size(cluster_txs=None, cluster_addresses=None) == 2101
+    assert size(cluster_txs=None, cluster_addresses=7) in (7, 8)
+
+
+def test_first_rows_in_two_steps(spark):
+    """The same rows as one sort; each part of a hot key is sorted for itself."""
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) as who", "id", "id * 7919 % 1000 as v")
+    got = trace.first_rows(rows, "who", [F.desc("v"), "id"], 1500, ["id"])
+    nth = F.row_number().over(Window.partitionBy("who").orderBy(F.desc("v"), "id"))
+    want = rows.withColumn("n", nth).filter("n <= 1500").drop("n")
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_value_of_a_busy_origin_follows_its_largest_coins(spark):
+    io, spends, tx = _busy_origin(spark, 300)
+    frontier = spark.createDataFrame([("origin",)], "address string")
+    edges = trace.outgoing_edges(frontier, io, spends, tx, None, 100).collect()
+    assert [(r.other, r.tx_count) for r in edges] == [("shop", 100)]
