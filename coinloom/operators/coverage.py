@@ -230,3 +230,55 @@ def file_checksums(spark: SparkSession, path: str) -> DataFrame:
     """`path, length, sha256` of every file below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+FANOUT_BITS = 4
+
+
+def hash_tree(rows: DataFrame, keys: list[str], depth: int = 2) -> DataFrame:
+    """`level, node, n_rows, checksum`: sums over ranges of the keys' hashes, 16 ranges in each one above.
+
+    Level 0 is the whole table, level `depth` has 16 ** depth leaves. Sums do not depend on order, and
+    a node's are those of the nodes below it, so the table is read once and combined on the map side.
+    """
+    at = F.call_function("shiftrightunsigned", F.xxhash64(*keys), F.lit(64 - FANOUT_BITS * depth))
+    columns = [F.col(c) for c in sorted(rows.columns)]
+    leaves = rows.groupBy(at.cast("bigint").alias("leaf")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum")
+    )
+    up = [F.struct(F.lit(k).alias("level"), F.call_function("shiftright", F.col("leaf"), F.lit(FANOUT_BITS * (depth - k))).alias("node")) for k in range(depth + 1)]
+    return leaves.select(F.explode(F.array(*up)).alias("at"), "n_rows", "checksum").groupBy("at.level", "at.node").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("checksum").alias("checksum")
+    )
+
+
+def differing_leaves(one: DataFrame, other: DataFrame, depth: int = 2) -> list[int]:
+    """Leaves in which two trees of `hash_tree` differ, looking only below nodes that differ."""
+    gap = one.alias("a").join(other.alias("b"), ["level", "node"], "full").filter(
+        ~(F.col("a.n_rows").eqNullSafe(F.col("b.n_rows")) & F.col("a.checksum").eqNullSafe(F.col("b.checksum")))
+    )
+    apart = gap.select("level", "node").persist()
+    try:
+        found = {0} if not apart.filter("level = 0").isEmpty() else set()
+        for level in range(1, depth + 1):
+            if not found:
+                break
+            above = F.call_function("shiftright", F.col("node"), F.lit(FANOUT_BITS))
+            found = {r.node for r in apart.filter((F.col("level") == level) & above.isin(sorted(found))).collect()}
+        return sorted(found)
+    finally:
+        apart.unpersist()
+
+
+def differing_rows(one: DataFrame, other: DataFrame, keys: list[str], depth: int = 2) -> DataFrame:
+    """Keys of rows that differ between two tables, and `what`: `changed`, `missing` (from the other) or `added`.
+
+    Trees say where; only rows of those ranges are compared. Keys are unique in each table.
+    """
+    leaves = differing_leaves(hash_tree(one, keys, depth), hash_tree(other, keys, depth), depth)
+    at = F.call_function("shiftrightunsigned", F.xxhash64(*keys), F.lit(64 - FANOUT_BITS * depth)).cast("bigint")
+    columns = [F.col(c) for c in sorted(one.columns)]
+    side = lambda rows, name: rows.filter(at.isin(leaves) if leaves else F.lit(False)).select(*keys, F.xxhash64(*columns).alias(name))
+    both = side(one, "_a").join(side(other, "_b"), keys, "full").filter(~F.col("_a").eqNullSafe(F.col("_b")))
+    what = F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "added").otherwise("changed")
+    return both.select(*keys, what.alias("what"))

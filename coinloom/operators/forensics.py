@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,11 +46,43 @@ def price_at(rows: DataFrame, time: str, prices: DataFrame, currency: str) -> Da
     return left.join(steps, within, "left").select(*rows.columns, "price")
 
 
-def fiat_values(io: DataFrame, tx: DataFrame, prices: DataFrame, currency: str = "USD") -> DataFrame:
-    """`value`: amount times price, exact, rounded once to millionths."""
+def fiat_values(
+    io: DataFrame, tx: DataFrame, prices: DataFrame, currency: str = "USD", priced: Callable[..., DataFrame] = price_at
+) -> DataFrame:
+    """`value`: amount times price, exact, rounded once to millionths. `priced` is `price_at` or `price_merge`."""
     outs = io.filter("io_type = 'out'").join(tx.select("txid", "received_time"), "txid").select("txid", "idx", "amount", "received_time")
     exact = F.expr("cast(round(cast(amount as decimal(16,0)) * cast(price as decimal(18,8)), -2) / 100 as bigint)")
-    return price_at(outs, "received_time", prices, currency).withColumn("value", exact / F.lit(1e6))
+    return priced(outs, "received_time", prices, currency).withColumn("value", exact / F.lit(1e6))
+
+
+def price_merge(rows: DataFrame, time: str, prices: DataFrame, currency: str, parts: int | None = None) -> DataFrame:
+    """`rows` plus `price` as `price_at` gives it, by merging both sides in order of time.
+
+    Rows and prices are dealt together into ranges of time, a price before the rows of its moment, and
+    written once with the range each lies in; rows of one moment may be split over ranges. Inside a
+    range the last price seen is carried on, and the first rows take the last price of the ranges
+    before: one row a range passes through a window. Each row is compared once, however many prices a
+    day has, and a range is a share of all rows, however many one day has.
+    """
+    p = prices.filter(F.col("currency") == currency).groupBy("ts").agg(F.max("price").alias("price"))
+    none = F.lit(None).cast(dict(p.dtypes)["price"])
+    names = [f"_{i}" for i in range(len(rows.columns))]
+    left = rows.withColumn("_ts", F.col(time)).toDF(*names, "_ts")
+    marked = left.select("_ts", F.lit(1).alias("_kind"), F.xxhash64("_ts", *names).alias("_tie"), F.struct(*names).alias("_row"), none.alias("_price"))
+    step = p.select(F.col("ts").alias("_ts"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"), F.lit(None).cast(marked.schema["_row"].dataType).alias("_row"), F.col("price").alias("_price"))
+    both = marked.filter("_ts is not null").unionByName(step)
+    order = ["_ts", "_kind", "_tie"]
+    dealt = both.repartitionByRange(*([parts] if parts else []), *order)
+    merged = staged(dealt.withColumn("_part", F.spark_partition_id()))
+    tails = merged.filter("_kind = 0").groupBy("_part").agg(F.max_by("_price", "_ts").alias("_tail"))
+    every = merged.select("_part").distinct().join(tails, "_part", "left")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.select("_part", F.last("_tail", ignorenulls=True).over(before).alias("_carried"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    priced = merged.withColumn("_in", F.last("_price", ignorenulls=True).over(inside)).filter("_kind = 1").join(carried, "_part")
+    timeless = marked.filter("_ts is null").select("_row", none.alias("price"))
+    found = priced.select("_row", F.coalesce("_in", "_carried").alias("price")).unionByName(timeless)
+    return found.select("_row.*", "price").toDF(*rows.columns, "price")
 
 
 def match_amounts(left: DataFrame, right: DataFrame, tolerance: int, seconds: int) -> DataFrame:
@@ -88,6 +122,35 @@ def wallet_clusters(io: DataFrame, mixes: DataFrame | None = None) -> DataFrame:
     return connected_components(ins.join(low, "txid").select("first", "address"), "first", "address")
 
 
+def cluster_changes(labels: DataFrame, io: DataFrame, mixes: DataFrame | None = None) -> DataFrame:
+    """`node, component` rows that transactions in `io` add to or change in `labels` (node, component), and no others.
+
+    The new star edges are contracted to the components that their addresses have; the components of
+    that small graph say which labels give way to which, and only the members of those are relabelled.
+    A component is called after its smallest node, so the result is that of a run over everything.
+    """
+    ins = io.filter("io_type = 'in' and address is not null").select("txid", "address").distinct()
+    if mixes is not None:
+        ins = ins.join(mixes.filter("is_mix").select("txid"), "txid", "left_anti")
+    low = ins.groupBy("txid").agg(F.min("address").alias("first"))
+    star = ins.join(low, "txid").select("first", "address").filter("first != address").distinct()
+    asked = star.select(F.explode(F.array("first", "address")).alias("node")).distinct()
+    known = staged(asked.join(labels, "node", "left").withColumn("at", F.coalesce("component", "node")))
+    at = lambda c: known.select(F.col("node").alias(c), F.col("at").alias(f"{c}_at"))
+    small = star.join(at("first"), "first").join(at("address"), "address").select("first_at", "address_at")
+    moved = staged(connected_components(small, "first_at", "address_at"))
+    into = moved.select(F.col("node").alias("at"), F.col("component").alias("to"))
+    fresh = known.filter("component is null").join(into, "at", "left").select("node", F.coalesce("to", "at").alias("component"))
+    gave_way = into.filter("at != to").select(F.col("at").alias("component"), "to")
+    changed = labels.join(gave_way, "component").select("node", F.col("to").alias("component"))
+    return fresh.unionByName(changed)
+
+
+def with_changes(labels: DataFrame, changes: DataFrame) -> DataFrame:
+    """`labels` with rows of `changes` in place of those of the same node, and its new ones."""
+    return labels.join(changes.select("node"), "node", "left_anti").unionByName(changes)
+
+
 def address_reuse(io: DataFrame) -> DataFrame:
     """`address, n_tx`: addresses paid by more than one transaction."""
     return io.filter("io_type = 'out'").groupBy("address").agg(F.count_distinct("txid").alias("n_tx")).filter("n_tx > 1")
@@ -262,6 +325,35 @@ def hours_of_day(io: DataFrame, tx: DataFrame) -> DataFrame:
     )
 
 
+#: Periods that behaviour is held against, in seconds: a day, a week, four weeks.
+PERIODS = (86_400, 7 * 86_400, 28 * 86_400)
+
+
+def periodicity(events: DataFrame, periods: tuple[int, ...] = PERIODS, least: int = 5) -> DataFrame:
+    """`address, period_s, n_events, score`: how strongly each address's events (address, ts) keep to each period.
+
+    Every event is a point on a circle of the period's length; `score` is Rayleigh's: the squared length
+    of the summed points over their number, 0 for evenly spread events and their number if all fall on
+    one phase. Chance passes a score of s with a probability of about exp(-s). Points are rounded to
+    millionths, so sums are whole numbers that combine on the map side: a busy address is no single
+    task. Addresses with fewer than `least` events are left out.
+    """
+    seconds = F.unix_timestamp("ts")
+    timed = events.filter("address is not null and ts is not null").select("address", seconds.alias("t"))
+    each = timed.select("address", "t", F.explode(F.array(*(F.lit(p).cast("bigint") for p in periods))).alias("period_s"))
+    angle = F.lit(2 * math.pi) * (F.pmod("t", "period_s").cast("double") / F.col("period_s").cast("double"))
+    whole = lambda f: F.round(f(angle) * 1e6).cast("bigint")
+    sums = each.groupBy("address", "period_s").agg(F.count("*").alias("n_events"), F.sum(whole(F.cos)).alias("x"), F.sum(whole(F.sin)).alias("y"))
+    x, y, n = (F.col(c).cast("double") for c in ("x", "y", "n_events"))
+    return sums.filter(F.col("n_events") >= least).select("address", "period_s", "n_events", ((x * x + y * y) / (n * 1e12)).alias("score"))
+
+
+def spending_times(io: DataFrame, tx: DataFrame) -> DataFrame:
+    """`address, ts`: when each address spent, once for each transaction."""
+    spent = io.filter("io_type = 'in' and address is not null").select("address", "txid").distinct()
+    return spent.join(tx.select("txid", F.col("received_time").alias("ts")), "txid").select("address", "ts")
+
+
 def first_funding(io: DataFrame, tx: DataFrame) -> DataFrame:
     """`address, txid, first_time, sats, funder`: the first payment to each address and its largest input's address."""
     paid = io.filter("io_type = 'out'").join(tx.select("txid", "received_time"), "txid").groupBy("address", "txid", "received_time").agg(F.sum("amount").alias("sats"))

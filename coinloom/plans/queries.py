@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinloom.functions import scalars
-from coinloom.operators import balances, coverage, forensics
+from coinloom.operators import balances, coverage, forensics, taint
+from coinloom.operators.absent import RangedTable
 from coinloom.operators.flatten import Flat, derived_status, dropped_fields, flatten, valid_io
-from coinloom.operators.scratch import staged
+from coinloom.operators.scratch import scratch_root, staged
 from coinloom.operators.upsert import add_tag, fill_total_in, insert_io, insert_spends, remove_tags, resolve_missing_inputs, upsert_tags, upsert_transactions
 from coinloom.plans import report, trace
 from coinloom.sources import ledger as source
 from coinloom.sources import tags as tag_source
-from coinloom.sources.blocks import block_documents, parse_blocks
-from coinloom.sources.schemas import KEYS
+from coinloom.sources.blocks import block_documents, parse_blocks, read_blocks
+from coinloom.sources.schemas import KEYS, TX_IO
+from coinloom.streaming import follow
+from coinloom.streaming.levels import Store, first_wins
 
 _ADDRESS = (
     "concat(case {0} % 5 when 1 then '3' when 2 then 'bc1q' when 3 then 'bc1p' else '1' end, "
@@ -135,7 +139,7 @@ def registered(sql: str | None) -> Callable[[Query], Query]:
         QUERIES[query.__name__] = query
         if sql is not None:
             # Walks need a recursive definition; the others are planned better without the word.
-            head = LEDGER_SQL.replace("WITH", "WITH RECURSIVE", 1) if " UNION SELECT reach" in sql or "walk w JOIN" in sql else LEDGER_SQL
+            head = LEDGER_SQL.replace("WITH", "WITH RECURSIVE", 1) if " UNION SELECT reach" in sql or "walk w JOIN" in sql or "USING KEY" in sql else LEDGER_SQL
             ORACLE_SQL[query.__name__] = head + sql
         return query
 
@@ -916,3 +920,255 @@ def type_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("SELECT height FROM status WHERE address_status = 'in_progress' AND updated_at < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 15 MINUTE")
 def stale_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.stale(source.status_frame(source.derive(spark, sf_dir)), "1998-01-01 00:00:00").select("height")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared scratch storage."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_followed: dict[tuple[str, str], str] = {}
+
+
+def _follow(spark: SparkSession, sf_dir: str) -> str:
+    """The ledger's blocks as files of JSON, followed in four micro-batches that come in no order of height; once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _followed:
+        root = _folder(spark, "follow")
+        docs = block_documents(source.derive(spark, sf_dir)).select("value", F.pmod(F.hash("height"), F.lit(4)).alias("file"))
+        docs.repartition(4, "file").sortWithinPartitions("value").select("value").write.text(f"{root}/blocks")
+        files = spark.read.text(f"{root}/blocks").inputFiles()
+        follow.follow(spark, f"{root}/blocks", f"{root}/out", -(-len(files) // 4)).awaitTermination()
+        follow.compact(spark, f"{root}/out")
+        _followed[key] = f"{root}/out"
+    return _followed[key]
+
+
+@registered("SELECT txid, block_hash, height, received_time, total_in, total_out FROM tx")
+def followed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of blocks that came as files, in runs merged level by level."""
+    return follow.read_table(spark, _follow(spark, sf_dir), "transactions")
+
+
+@registered("SELECT height, any_value(features) AS features, 'done' AS vout_status, 'done' AS vin_status FROM (SELECT DISTINCT height FROM tx) JOIN status USING (height) WHERE features <> 'none' GROUP BY height")
+def followed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return follow.read_table(spark, _follow(spark, sf_dir), "status").filter("features in ('both', 'vin', 'vout')")
+
+
+@registered("""SELECT c.address, max_by(address_type, list_position(['p2pkh','p2sh','bech32','taproot','unknown','p2pk'], address_type)) AS address_type, CAST(coalesce(sum(amount) FILTER (WHERE spending_txid IS NULL), 0) AS BIGINT) AS balance_sats,
+  count(*) FILTER (WHERE spending_txid IS NULL) AS utxo_count, any_value(e.n) AS tx_count, CAST(sum(amount) AS BIGINT) AS total_received_sats, CAST(coalesce(sum(amount) FILTER (WHERE spending_txid IS NOT NULL), 0) AS BIGINT) AS total_spent_sats,
+  any_value(e.lo) AS first_seen, any_value(e.hi) AS last_seen, any_value(e.h) AS last_height
+  FROM coins c JOIN (SELECT address, count(DISTINCT e.txid) AS n, min(received_time) AS lo, max(received_time) AS hi, max(t.height) AS h FROM events e JOIN tx t ON t.txid = e.txid GROUP BY address) e ON e.address = c.address GROUP BY c.address""")
+def streamed_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances that a stream with state kept up to date while the blocks came."""
+    root = _follow(spark, sf_dir)
+    follow.update_balances(spark, root).awaitTermination()
+    return follow.balances(spark, root)
+
+
+@registered("SELECT txid, address, address_type, amount, io_type, idx FROM io")
+def merged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in five batches, a third of them twice, merged level by level; the later copies differ and do not count."""
+    io = source.derive(spark, sf_dir).io
+    at = F.pmod(F.hash("txid"), F.lit(5))
+    kept = Store(spark, _folder(spark, "runs"), {"tx_io": first_wins(TX_IO, KEYS["tx_io"][0])})
+    for batch in range(5):
+        again = io.filter((at < batch) & (F.col("idx") % 3 == 0)).withColumn("amount", F.col("amount") + 1)
+        kept.add(batch, {"tx_io": io.filter(at == batch).unionByName(again)})
+        kept.compact()
+    return kept.read("tx_io")
+
+
+@registered("SELECT txid, address, address_type, amount, io_type, idx FROM io")
+def insert_io_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows are there; all of them come, twice; filters tell which ranges need not be read."""
+    io = source.derive(spark, sf_dir).io
+    table = RangedTable.create(io.filter("idx % 2 = 0"), _folder(spark, "io"), KEYS["tx_io"][0])
+    table.insert(io.unionByName(io))
+    return table.read()
+
+
+def _late_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coins made at every tenth of the last 300 heights."""
+    led = source.derive(spark, sf_dir)
+    return led.outs().join(led.tx.filter(f"height % 10 = 0 and height > {led.tip - 300}").select("txid"), "txid", "left_semi").select("txid", "idx")
+
+
+_LATE = ", seed AS (SELECT o.txid, o.idx, o.amount FROM outs o JOIN tx t USING (txid) WHERE t.height % 10 = 0 AND t.height > (SELECT tip FROM tip) - 300)"
+
+
+@registered(_LATE + """, lined AS (SELECT s.prev_txid, s.prev_vout, o.txid, o.idx, o.amount, nullif(t.total_in, 0) AS total_in FROM spends s JOIN outs o ON o.txid = s.spending_txid JOIN tx t ON t.txid = o.txid),
+  x(txid, idx, milli) USING KEY (txid, idx) AS (SELECT txid, idx, amount * 1000 FROM seed UNION
+    SELECT q.txid, q.idx, q.milli FROM (
+      SELECT l.txid, l.idx, CAST(coalesce(any_value(b.amount), 0) * 1000 + any_value(l.amount)::HUGEINT * sum(r.milli)::HUGEINT // any_value(l.total_in) AS BIGINT) AS milli
+      FROM recurring.x r JOIN lined l ON l.prev_txid = r.txid AND l.prev_vout = r.idx LEFT JOIN seed b ON b.txid = l.txid AND b.idx = l.idx
+      WHERE l.txid IN (SELECT s.spending_txid FROM x JOIN spends s ON s.prev_txid = x.txid AND s.prev_vout = x.idx) GROUP BY l.txid, l.idx) q
+    LEFT JOIN recurring.x c ON c.txid = q.txid AND c.idx = q.idx WHERE c.milli IS DISTINCT FROM q.milli)
+  SELECT txid, idx, milli AS tainted_milli FROM x""")
+def haircut_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Haircut to the end of all walks, each coin settled once."""
+    led = source.derive(spark, sf_dir)
+    return taint.haircut_totals(_late_coins(spark, sf_dir), led.io, led.spends, led.tx).drop("layer")
+
+
+def _order_sql(last_first: bool) -> str:
+    start, lo, hi = ("DESC", "i.lo + i.amount - w.hi", "i.lo + i.amount - w.lo") if last_first else ("ASC", "i.lo + w.lo", "i.lo + w.hi")
+    return _LATE + f""", li AS (SELECT txid, idx, amount, sum(amount) OVER (PARTITION BY txid ORDER BY idx {start})::BIGINT - amount AS lo FROM ins),
+      lo AS (SELECT txid, idx, sum(amount) OVER (PARTITION BY txid ORDER BY idx)::BIGINT - amount AS lo, sum(amount) OVER (PARTITION BY txid ORDER BY idx)::BIGINT AS hi FROM outs),
+      free AS (SELECT o.* FROM lo o ANTI JOIN seed s ON s.txid = o.txid AND s.idx = o.idx),
+      walk AS (SELECT txid, idx, 0::BIGINT AS lo, amount AS hi FROM seed UNION ALL
+        SELECT o.txid, o.idx, greatest({lo}, o.lo) - o.lo, least({hi}, o.hi) - o.lo FROM walk w JOIN spends s ON s.prev_txid = w.txid AND s.prev_vout = w.idx
+        JOIN li i ON i.txid = s.spending_txid AND i.idx = s.spending_vin JOIN free o ON o.txid = s.spending_txid AND o.lo < {hi} AND o.hi > {lo})
+      SELECT txid, idx, CAST(sum(hi - lo) AS BIGINT) AS tainted FROM walk GROUP BY ALL"""
+
+
+@registered(_order_sql(False))
+def fifo_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First in, first out over all transactions that the start coins lead to."""
+    led = source.derive(spark, sf_dir)
+    return taint.ordered_totals(_late_coins(spark, sf_dir), led.io, led.spends)
+
+
+@registered(_order_sql(True))
+def lifo_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = source.derive(spark, sf_dir)
+    return taint.ordered_totals(_late_coins(spark, sf_dir), led.io, led.spends, last_first=True)
+
+
+@registered("""SELECT address, period_s, n_events, round((x::DOUBLE * x::DOUBLE + y::DOUBLE * y::DOUBLE) / (n_events::DOUBLE * 1e12), 6) AS score FROM (
+  SELECT address, period_s, count(*) AS n_events, sum(round(cos(2 * pi() * ((t % period_s)::DOUBLE / period_s::DOUBLE)) * 1e6)::BIGINT)::BIGINT AS x, sum(round(sin(2 * pi() * ((t % period_s)::DOUBLE / period_s::DOUBLE)) * 1e6)::BIGINT)::BIGINT AS y
+  FROM (SELECT DISTINCT address, txid, epoch(received_time)::BIGINT AS t FROM ins JOIN tx USING (txid)), (VALUES (604800::BIGINT), (2419200), (7776000)) v(period_s) GROUP BY ALL) WHERE n_events >= 5""")
+def periodic_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How strongly addresses spend by the week, by four weeks and by ninety days."""
+    led = source.derive(spark, sf_dir)
+    scores = forensics.periodicity(forensics.spending_times(led.io, led.tx), (604_800, 2_419_200, 7_776_000))
+    return scores.withColumn("score", F.round("score", 6))
+
+
+@registered(ORACLE_SQL["wallet_clusters"].removeprefix(LEDGER_SQL.replace("WITH", "WITH RECURSIVE", 1)))
+def clusters_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wallet clusters of a third of all heights, brought up to date by the second and then the last third."""
+    led = source.derive(spark, sf_dir)
+    mixes = staged(forensics.mixing_shape(led.io))
+    third = led.io.join(led.tx.select("txid", F.least(F.floor(F.col("height") * 3 / (led.tip + 1)), F.lit(2)).alias("third")), "txid")
+    labels = staged(forensics.wallet_clusters(third.filter("third = 0"), mixes))
+    for k in (1, 2):
+        labels = staged(forensics.with_changes(labels, forensics.cluster_changes(labels, third.filter(f"third = {k}"), mixes)))
+    return labels
+
+
+@registered(ORACLE_SQL["fiat_values"].removeprefix(LEDGER_SQL))
+def fiat_values_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values at the price of the time, both sides merged in order of time."""
+    led = source.derive(spark, sf_dir)
+    return forensics.fiat_values(led.io, led.tx, source.price_frame(led), "USD", forensics.price_merge)
+
+
+@registered("""SELECT txid, io_type, idx, CASE WHEN amount % 1000 = 7 THEN 'changed' WHEN amount % 1000 = 8 THEN 'missing' ELSE 'added' END AS what FROM io WHERE amount % 1000 IN (7, 8, 9)""")
+def located_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of the rows with a few of them changed, lost or new: hash trees say where, rows say what."""
+    io = source.derive(spark, sf_dir).io
+    part = F.col("amount") % 1000
+    before, after = io.filter(part != 9), io.filter(part != 8).withColumn("address", F.when(part == 7, "other").otherwise(F.col("address")))
+    return coverage.differing_rows(before, after, KEYS["tx_io"][0], depth=2)
+
+
+@registered("""SELECT * FROM (VALUES ('transactions', 'size mismatch'), ('tx_io', 'checksum mismatch'), ('spends', 'ok'), ('lost', 'missing'), ('found', 'unexpected')) v("table", verdict)""")
+def verified_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = source.derive(spark, sf_dir)
+    stored = coverage.manifest({"transactions": led.tx, "tx_io": led.io, "spends": led.spends, "lost": led.tx})
+    odd = led.io.withColumn("amount", F.when(F.col("idx") == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+    return coverage.verify_manifest(stored, coverage.manifest({"transactions": led.tx.filter("height % 2 = 0"), "tx_io": odd, "spends": led.spends, "found": led.tx}))
+
+
+@registered("SELECT txid, block_hash, height, received_time, total_in, total_out FROM tx")
+def keep_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known transactions stay as they are under the older rule, whatever comes again; new ones are taken."""
+    tx = source.derive(spark, sf_dir).tx
+    new = tx.withColumn("total_out", F.when(F.col("height") % 3 == 0, F.col("total_out")).otherwise(F.col("total_out") + 9))
+    return upsert_transactions(tx.filter("height % 3 != 0"), new, keep=True)
+
+
+@registered("SELECT height, height % 10 = 0 AS failed FROM (SELECT DISTINCT height FROM tx)")
+def rejected_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks written as JSON files, every tenth without a time; which ones reading rejects."""
+    path = _folder(spark, "blocks")
+    docs = block_documents(source.derive(spark, sf_dir))
+    timeless = F.regexp_replace("value", r'"time":\d+,?', "")
+    docs.select(F.when(F.col("height") % 10 == 0, timeless).otherwise(F.col("value")).alias("value")).write.text(path)
+    flat = flatten(read_blocks(spark, path))
+    return flat.failed.select("height", F.lit(True).alias("failed")).unionByName(flat.blocks.select("height", F.lit(False).alias("failed")))
+
+
+@registered("SELECT txid, idx, address, CASE WHEN address_type = 'p2pk' THEN 'p2pkh' ELSE address_type END AS address_type FROM outs")
+def older_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs under the older label of raw public keys."""
+    _flat(spark, sf_dir)
+    rows = flatten(_parsed[spark.sparkContext.applicationId, sf_dir, True], label="p2pkh").outs
+    return rows.select("txid", "idx", "address", "address_type")
+
+
+@registered("SELECT o_orderkey AS k, o_orderkey % 4 = 0 AS sound FROM orders")
+def sound_txids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of 64 hex digits; every fourth is left as it is, the others are cut, lengthened or spoilt."""
+    k = F.col("o_orderkey")
+    ident = F.sha2(k.cast("string"), 256)
+    odd = F.when(k % 4 == 1, F.substring(ident, 1, 63)).when(k % 4 == 2, F.concat(ident, F.lit("\n"))).when(k % 4 == 3, F.concat(F.substring(ident, 1, 63), F.lit("g")))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(k.alias("k"), scalars.is_txid(F.coalesce(odd, ident)).alias("sound"))
+
+
+@registered("""SELECT address, 'builtin' AS source, entity_name, category, coalesce(confidence, 0.7) AS confidence, 'made' AS reference FROM tags WHERE source = 'alpha'""")
+def bundled_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags written as CSV with a header, comments among them, and read again."""
+    path = _folder(spark, "bundled")
+    tags = source.tag_frame(spark, sf_dir).filter("source = 'alpha'").drop("source")
+    cells = tags.select("address", "entity_name", "category", "confidence", "reference")
+    cells.write.option("header", True).csv(path)
+    spark.range(3).select(F.lit("# a remark, no tag").alias("value")).write.mode("append").text(path)
+    return tag_source.read_bundled_csv(spark, path)
+
+
+@registered("""SELECT address, 'list' AS source, CASE WHEN k % 2 = 0 THEN 'list' ELSE concat('name ', k) END AS entity_name, CASE WHEN k % 3 = 0 THEN 'other' ELSE category END AS category, 0.7::DOUBLE AS confidence, 'import:list' AS reference FROM tag0""")
+def imported_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses with a name and a category here and there, in files with and without a header line."""
+    path = _folder(spark, "imported")
+    k = F.col("c_custkey")
+    rows = (
+        spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey % 50 in (1, 2, 3)")
+        .select(
+            source._address_of("c_custkey").alias("address"), F.when(k % 2 != 0, F.concat(F.lit("name "), k.cast("string"))).otherwise("").alias("name"),
+            F.when(k % 3 != 0, F.expr("case c_custkey % 50 when 1 then 'exchange' when 2 then 'mixer' else 'sanctioned' end")).otherwise("").alias("kind"),
+            (k % 2).alias("half"),
+        )
+    )
+    for half, header in ((0, True), (1, False)):
+        rows.filter(f"half = {half}").drop("half").write.mode("append").option("header", header).option("emptyValue", "").csv(path)
+    return tag_source.read_generic_csv(spark, path, "list")
+
+
+@registered("""SELECT concat('1', substr(sha256(concat('p', c_custkey)), 1, 30)) AS address, 'OFAC' AS source, concat('Name ', c_custkey, ' [A, B]') AS entity_name, 'sanctioned' AS category, 1.0::DOUBLE AS confidence, 'SDN list, XBT' AS reference FROM customer
+  UNION ALL SELECT concat('3', substr(sha256(concat('r', c_custkey)), 1, 30)), 'OFAC', concat('Name ', c_custkey, ' [A, B]'), 'sanctioned', 1.0, 'SDN list, XBT' FROM customer WHERE c_custkey % 2 = 0""")
+def sanctioned_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists in XML of 1,000 entries at most: one address a customer among the ids, of every second one another in the remarks, and one of another currency."""
+    path = _folder(spark, "sanctions")
+    k = F.col("c_custkey").cast("string")
+    ident = lambda kind, value: F.concat(F.lit(f"<id><idType>Digital Currency Address - {kind}</idType><idNumber>"), value, F.lit("</idNumber></id>"))
+    own = F.concat(F.lit("1"), F.substring(source.sha(F.lit("p"), k), 1, 30))
+    said = F.concat(F.lit("<remarks>Digital Currency Address - XBT 3"), F.substring(source.sha(F.lit("r"), k), 1, 30), F.lit("; alt.</remarks>"))
+    entry = F.concat(
+        F.lit("<sdnEntry><lastName>Name "), k, F.lit("</lastName>"), F.when(F.col("c_custkey") % 2 == 0, said).otherwise(""),
+        F.lit("<programList><program>B</program><program>A</program></programList><idList>"), ident("XBT", own),
+        ident("ETH", F.concat(F.lit("0x"), own)), F.lit("</idList></sdnEntry>"),
+    )
+    entries = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.floor(F.col("c_custkey") / 1000).alias("part"), entry.alias("entry"))
+    whole = entries.groupBy("part").agg(F.concat(F.lit("<sdnList>"), F.array_join(F.collect_list("entry"), "\n"), F.lit("</sdnList>")).alias("value"))
+    whole.write.partitionBy("part").text(path)
+    return tag_source.sanction_tags(tag_source.read_sanctions_xml(spark, path))
+
+
+@registered("SELECT ts, currency, CAST(price AS DOUBLE) AS price, 'rule' AS source FROM prices")
+def imported_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices written as CSV and read again."""
+    path = _folder(spark, "prices")
+    source.price_frame(source.derive(spark, sf_dir)).write.option("header", True).csv(path)
+    return tag_source.read_prices(spark, path).withColumn("price", F.col("price").cast("double"))
