@@ -78,6 +78,8 @@ _PLAIN = frozenset(
 )
 # Kinds of elements whose class words do not count: single paragraphs, headings and cells.
 _LINES = frozenset("p h1 h2 h3 h4 h5 h6 dt dd td th tr tbody pre blockquote figcaption caption main".split())
+# Kinds that lead up to or close a text.
+_HEADED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote".split())
 # Kinds of elements that are left out where their text stayed fixed over a host's pages.
 _TEMPLATE = frozenset("address center details div dl figure header hr ol p pre section table ul".split())
 
@@ -411,9 +413,26 @@ class Wrapper:
         def count(row: list) -> int:
             return len(row) + sum(count(x[INSIDE]) for x in row if x[LABEL] != "#")
 
+        def texts(x: list) -> list[tuple[int, int]]:
+            """Length and linked length of the texts of an item, outside menus and the like."""
+            if x[LABEL] == "#":
+                return [(x[LENGTH], x[LINKED])]
+            name, _, marks = x[LABEL].partition(".")
+            if x[LABEL][0] != "(" and (name in BOILER_TAGS or _hinted(name, marks.replace(".", " "))):
+                return []
+            return [t for y in x[INSIDE] for t in texts(y)]
+
         def kept(row: list) -> list:
-            out = [x for x in row if not x[OPTIONAL] or x[PAGES] > limit]
-            return [x if x[LABEL] == "#" else [*x[:INSIDE], kept(x[INSIDE])] for x in out]
+            """The row with its rare items as one slot at the end: what varied stays known to vary, and how long it was."""
+            rare = [x for x in row if x[OPTIONAL] and x[PAGES] <= limit]
+            out = [x if x[LABEL] == "#" else [*x[:INSIDE], kept(x[INSIDE])] for x in row if not (x[OPTIONAL] and x[PAGES] <= limit)]
+            held = [t for x in rare for t in texts(x)]
+            if held:
+                slot = ["#", True, True, max(x[PAGES] for x in rare), None, sum(n for n, _ in held), sum(n for _, n in held)]
+                if out and out[-1][LABEL] == "#" and out[-1][FIXED] is None:
+                    slot = _merge(out.pop(), slot, True)
+                out.append(slot)
+            return out
 
         limit = 0
         while self.pages > 2 and limit < self.pages and count(self.items) > MOST_ITEMS:
@@ -449,7 +468,7 @@ class Wrapper:
 
     def region(self) -> str:
         """Path of the main element ("" for the whole page): an article or main element if one holds at least half
-        of the text in slots, else the innermost element that holds most of it."""
+        of the text in slots, else the innermost element that holds most of it, with what heads and closes it."""
         mass = self._slots(True, True)
         free = self._slots(False, True)
         if 10 * mass[""] < free[""]:
@@ -465,37 +484,66 @@ class Wrapper:
             best = max(named, key=lambda k: (mass[k], k))
             inner = [k for k in named if kind(k) == "article" and mass[k] >= 0.9 * mass[best]]
             return min(inner or [best], key=lambda k: (mass[k], -k.count("/"), k))
-        return min((k for k in mass if mass[k] >= MOST * total), key=lambda k: (-k.count("/"), mass[k], k))
+        best = min((k for k in mass if mass[k] >= MOST * total), key=lambda k: (-k.count("/"), mass[k], k))
+        # Headings and paragraphs that vary right beside it belong to it: a title above, closing words below.
+        lines = self._lines()
+        while best and (above := best.rpartition("/")[0]) and lines.get(above):
+            best = above
+        return best
+
+    def _lines(self) -> dict[str, int]:
+        """Length of the varying texts, outside links, in headings and paragraphs right below each container, by its path."""
+        found: dict[str, int] = {}
+
+        def varying(row: list) -> int:
+            return sum(varying(x[INSIDE]) if x[LABEL] != "#" else 0 if self._fixed(x) else x[LENGTH] - x[LINKED] for x in row)
+
+        def walk(row: list, path: str) -> None:
+            for x in row:
+                name = x[LABEL].partition(".")[0]
+                if x[LABEL][0] == "(":
+                    walk(x[INSIDE], path)
+                elif name in CONTAINER:
+                    walk(x[INSIDE], f"{path}/{x[LABEL]}")
+                elif name in _HEADED:
+                    found[path] = found.get(path, 0) + varying(x[INSIDE])
+
+        walk(self.items, "")
+        return found
 
     def template(self, region: str) -> list[str]:
         """Paths inside the region of elements whose texts all stayed fixed: adverts, notices and the like.
 
-        None where such elements hold half of the region's text: then the pages are copies of each other.
+        Inside an article or main element only those of which half is links: a byline or a table that
+        all pages share belongs to the article. None where such elements hold half of the region's
+        text: then the pages are copies of each other.
         """
         fixed: dict[str, bool] = {}
         length: dict[str, int] = {}
-        total = 0
+        linked: dict[str, int] = {}
 
-        def walk(row: list, path: str) -> tuple[bool, int]:
-            nonlocal total
-            whole, size = True, 0
+        def walk(row: list, path: str) -> tuple[bool, int, int]:
+            whole, size, links = True, 0, 0
             for x in row:
                 if x[LABEL] == "#":
                     whole &= self._fixed(x)
-                    size += x[LENGTH]
+                    size, links = size + x[LENGTH], links + x[LINKED]
                     continue
                 group = x[LABEL][0] == "("
                 here = path if group else f"{path}/{x[LABEL]}"
-                same, n = walk(x[INSIDE], here)
-                whole, size = whole and same, size + n
+                same, n, m = walk(x[INSIDE], here)
+                whole, size, links = whole and same, size + n, links + m
                 if not group:
                     fixed[here] = fixed.get(here, True) and same and n > 0
                     length[here] = length.get(here, 0) + n
-            return whole, size
+                    linked[here] = linked.get(here, 0) + m
+            return whole, size, links
 
         walk(self.items, "")
+        kind = lambda k: k.rsplit("/", 1)[-1].split(".")[0]
+        named = any(kind(part) in ("article", "main") for part in region.split("/"))
         inside = [k for k in fixed if k.startswith(f"{region}/")]
-        drop = [k for k in inside if fixed[k] and k.rsplit("/", 1)[-1].split(".")[0] in _TEMPLATE]
+        drop = [k for k in inside if fixed[k] and kind(k) in _TEMPLATE and (not named or 2 * linked[k] >= length[k])]
         drop = sorted(k for k in drop if not any(k.startswith(f"{d}/") for d in drop))
         total = length.get(region, sum(n for k, n in length.items() if k.count("/") == 1))
         return drop if 2 * sum(length[k] for k in drop) < total else []

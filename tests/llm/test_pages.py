@@ -1,6 +1,9 @@
+import random
+import string
 import time
 from html.parser import HTMLParser
 
+import pytest
 from coinloom.llm import wrappers
 from coinloom.llm.common import table
 
@@ -180,3 +183,54 @@ def test_whole_table_against_a_plain_parse(spark):
         plain = Plain()
         plain.feed(r.html)
         assert got[r.page_id] == "\n".join(filter(None, (" ".join(b.split()) for b in plain.blocks))), r.page_id
+
+
+def story(k, article, style):
+    """A page and its known text: a heading, a section under a fixed heading whose paragraphs have names of their own, a byline all share."""
+    rng = random.Random(f"{k}{style}")
+    name = lambda: "".join(rng.choices(string.ascii_lowercase, k=7))
+    lines = [f"Line {i} of story {k}: {name()} {name()} {name()} and {name()}." for i in range(20)]
+    body = "".join(f'<p class="{name() if style else "x"}">{x}</p>' for x in lines)
+    tag = "article" if article else "div"
+    page = (
+        f'<html><body><nav><a href="/">Home</a> <a href="/x">News</a></nav><{tag} class="text"><h1>Story {k}</h1>'
+        + ("<p class='byline'>By Ana Silva for the regional desk</p>" if article else "")
+        + f'<section class="story"><h2>The story</h2>{body}</section><p>Closing words of number {k} {name()}.</p></{tag}>'
+        f'<footer>All rights reserved</footer></body></html>'
+    )
+    known = [f"Story {k}", *(["By Ana Silva for the regional desk"] if article else []), "The story", *lines]
+    return page, known
+
+
+@pytest.mark.parametrize("article", [True, False])
+def test_hosts_of_any_size_keep_their_text(spark, article):
+    rows, want = [], {}
+    for host, n in enumerate([3, 4, 20, 120, 200, 500]):
+        for k in range(n):
+            page, known = story(k, article, style=True)
+            ident = host * 1000 + k
+            rows.append((ident, f"http://h{host}.example/{k}", page))
+            want[ident] = known
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 2, 5):
+        got = {r.page_id: r.text.split("\n") for r in wrappers.extract_text(frame.repartition(parts, "page_id")).collect()}
+        assert {i for i, known in want.items() if got[i][:-1] != known or not got[i][-1].startswith("Closing words")} == set()
+
+
+def test_shared_lines_of_an_article_stay_and_shared_links_go(spark):
+    def page(k):
+        return (
+            f"<html><body><article><h1>T{k}</h1><p class='byline'>By Ana Silva for the regional desk</p><table><tr><td>Unit<td>Metre</table>"
+            f"<p>Words of page {k} that no other page has, quite a few of them.</p><div class='q'><a href='/b'>Buy the yearly book now</a></div></article></body></html>"
+        )
+
+    got = extracted(spark, [(k, f"http://s.example/{k}", page(k)) for k in range(4)])
+    for k in range(4):
+        assert got[k] == f"T{k}\nBy Ana Silva for the regional desk\nUnit\nMetre\nWords of page {k} that no other page has, quite a few of them."
+
+
+def test_more_pages_take_nothing_from_others(spark):
+    whole = [(k, f"http://g.example/{k}", story(k, True, True)[0]) for k in range(260)]
+    few = extracted(spark, whole[:5])
+    many = extracted(spark, whole)
+    assert all(few[k] == many[k] for k in range(5))
