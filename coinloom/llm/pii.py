@@ -215,8 +215,11 @@ def mask_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
             )
         return work
 
+    # The row number keeps the filters above all rounds: pushed below them, they would hold each round's
+    # expression many times over.
     work = searched(placed.withColumn("text", F.col(f"c{text}")).withColumn("hit", F.lit(False)).withColumn("open", F.lit(True)))
-    done, rest = work.filter("not open"), staged(work.filter("open"))
+    work = work.withColumn("row", F.monotonically_increasing_id())
+    done, rest = work.filter("not open and row >= 0").drop("row"), staged(work.filter("open and row >= 0").drop("row"))
     while not rest.isEmpty():
         rest = staged(searched(rest))
         done, rest = done.unionByName(rest.filter("not open")), rest.filter("open")
