@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinloom.llm.common import let, running_starts
-from coinloom.operators.scratch import staged
 
 # The four base patterns, each written so that the regular expression engine neither
 # recurses (possessive repeats) nor starts again inside a run that it has already tried (the
@@ -192,43 +191,41 @@ def mask(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, masked).otherwise(text)
 
 
-def mask_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
-    """The rows of `docs` with personal data in `text` masked, and `n_chars` (if there) following the text.
+def mask_all(text: Column) -> Column:
+    """Struct of (text, hit): the text masked again and again until nothing is found in it, and whether anything was.
 
     What is masked may have kept a match of another kind from being valid (a number that ran on into
-    it), so a text in which something was found is searched again, up to `rounds` times in the plan
-    itself; the few texts that still had a match then are written aside and searched on until none is
-    left. Every mask takes digits or an address away, so that ends. All other columns stay as they
-    are, whatever their names.
+    it), so a text in which something was found is searched again. Every mask takes a digit or an @
+    away, so there are at most as many rounds as the text has of these, and one that finds nothing;
+    the rounds after that one only hand the text on. Null texts stay null.
+    """
+    again = lambda t: let(
+        find_pii(t), lambda f: F.struct(mask(t, f).alias("text"), (F.size(f) > 0).alias("open"), (F.size(f) > 0).alias("hit"))
+    )
+    start = F.struct(text.alias("text"), F.lit(True).alias("open"), F.lit(False).alias("hit"))
+
+    def step(acc: Column, _: Column) -> Column:
+        searched = let(again(acc["text"]), lambda n: n.withField("hit", acc["hit"] | n["hit"]))
+        return F.when(acc["open"], searched).otherwise(acc)
+
+    rounds = F.sequence(F.lit(0), F.regexp_count(text, F.lit("[0-9@]")))
+    return F.aggregate(rounds, start, step, lambda acc: acc.dropFields("open"))
+
+
+def mask_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` with personal data in `text` masked, and `n_chars` (if there) following the text.
+
+    One expression on each row, with as many rounds as its text needs. All other columns stay as
+    they are, whatever their names; null texts stay null.
     """
     text, chars = (docs.columns.index(k) if k in docs.columns else None for k in ("text", "n_chars"))
-    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-
-    def searched(work: DataFrame) -> DataFrame:
-        for _ in range(rounds):
-            work = (
-                work.withColumn("found", F.when(F.col("open"), find_pii(F.col("text"))))
-                .withColumn("text", F.when(F.col("open"), mask(F.col("text"), F.col("found"))).otherwise(F.col("text")))
-                .withColumn("open", F.coalesce(F.size("found") > 0, F.lit(False)))
-                .withColumn("hit", F.col("hit") | F.col("open"))
-                .drop("found")
-            )
-        return work
-
-    # The row number keeps the filters above all rounds: pushed below them, they would hold each round's
-    # expression many times over.
-    work = searched(placed.withColumn("text", F.col(f"c{text}")).withColumn("hit", F.lit(False)).withColumn("open", F.lit(True)))
-    work = work.withColumn("row", F.monotonically_increasing_id())
-    done, rest = work.filter("not open and row >= 0").drop("row"), staged(work.filter("open and row >= 0").drop("row"))
-    while not rest.isEmpty():
-        rest = staged(searched(rest))
-        done, rest = done.unionByName(rest.filter("not open")), rest.filter("open")
-    columns = [F.col(c) for c in placed.columns]
-    columns[text] = F.col("text")
+    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).withColumn("masked", mask_all(F.col(f"c{text}")))
+    columns = [F.col(f"c{i}") for i in range(len(docs.columns))]
+    columns[text] = F.col("masked.text")
     if chars is not None:
         kind = docs.schema[chars].dataType
-        columns[chars] = F.when(F.col("hit"), F.length("text").cast(kind)).otherwise(F.col(f"c{chars}"))
-    return done.select(columns).toDF(*docs.columns)
+        columns[chars] = F.when(F.col("masked.hit"), F.length("masked.text").cast(kind)).otherwise(columns[chars])
+    return placed.select(columns).toDF(*docs.columns)
 
 
 def pii_documents(docs: DataFrame) -> DataFrame:
