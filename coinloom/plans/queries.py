@@ -13,7 +13,7 @@ from coinloom.operators import balances, coverage, forensics, taint
 from coinloom.operators.absent import RangedTable
 from coinloom.operators.flatten import Flat, derived_status, dropped_fields, flatten, valid_io
 from coinloom.operators.scratch import scratch_root, staged
-from coinloom.operators.upsert import add_tag, fill_total_in, insert_io, insert_spends, remove_tags, resolve_missing_inputs, upsert_tags, upsert_transactions
+from coinloom.operators.upsert import add_tag, fill_total_in, insert_io, insert_spends, remove_tags, replace_table, resolve_missing_inputs, touched, upsert_tags, upsert_transactions
 from coinloom.plans import report, trace
 from coinloom.sources import ledger as source
 from coinloom.sources import tags as tag_source
@@ -1172,3 +1172,45 @@ def imported_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "prices")
     source.price_frame(source.derive(spark, sf_dir)).write.option("header", True).csv(path)
     return tag_source.read_prices(spark, path).withColumn("price", F.col("price").cast("double"))
+
+
+@registered(f"""SELECT address, max_by(address_type, {_RANK}) AS address_type,
+  CAST(coalesce(sum(amount) FILTER (WHERE spending_txid IS NULL), 0) AS BIGINT) AS balance_sats, CAST(sum(amount) AS BIGINT) AS total_received_sats FROM coins GROUP BY address""")
+def replaced_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances without spends written first, then a whole second version in folders by address type; the second is read."""
+    led, root = source.derive(spark, sf_dir), _folder(spark, "replaced")
+    replace_table(balances.build_balances(led.io, led.spends.filter("false")), root, "balances", "1")
+    path = replace_table(balances.build_balances(led.io, led.spends), root, "balances", "2", ["address_type"])
+    return spark.read.parquet(path).select("address", "address_type", "balance_sats", "total_received_sats")
+
+
+@registered("""SELECT e.origin, "from", "to", CAST(e.depth AS INTEGER) AS depth, CAST(round(value_sats / 1e8, 6) AS DOUBLE) AS btc, tx_count,
+  CASE WHEN certain THEN 'direct' ELSE 'co-mingled' END AS attribution, n.entity FROM edges e LEFT JOIN nodes n ON n.origin = e.origin AND n.address = e."to" """)
+def flow_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flows of all origins written as CSV and read again."""
+    g, path = _graph(spark, sf_dir), _folder(spark, "flows")
+    rows = report.payload(g.edges, g.nodes)
+    report.write_flow_table(rows, path)
+    read = spark.read.schema(rows.schema).option("header", True).csv(path)
+    return read.select("origin", "from", "to", "depth", F.col("btc").cast("double").alias("btc"), "tx_count", "attribution", "entity")
+
+
+@registered("""SELECT 'edge' AS kind, origin, "from" AS a, "to" AS b, value_sats AS sats FROM edges UNION ALL SELECT 'node', origin, address, entity, received_sats FROM nodes""")
+def graph_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graphs written as JSON, one folder for nodes, edges and summary, and read again."""
+    g, path = _graph(spark, sf_dir), _folder(spark, "graph")
+    report.write_graph_json(g, trace.graph_summary(g), path)
+    edges = spark.read.schema(g.edges.schema).json(f"{path}/edges")
+    nodes = spark.read.schema(g.nodes.schema).json(f"{path}/nodes")
+    sats = F.round(F.col("total_received_btc") * 100_000_000).cast("long")
+    return edges.select(F.lit("edge").alias("kind"), "origin", F.col("from").alias("a"), F.col("to").alias("b"), F.col("value_sats").alias("sats")).unionByName(
+        nodes.select(F.lit("node").alias("kind"), "origin", F.col("address").alias("a"), F.col("entity").alias("b"), sats.alias("sats"))
+    )
+
+
+@registered("SELECT txid, height, height % 2 = 0 AS stamped FROM tx")
+def touched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions at even heights stamped anew, the others as they were; which ones bear a time of this query."""
+    old = source.derive(spark, sf_dir).tx.withColumn("updated_at", F.col("received_time"))
+    rows = touched(old.filter("height % 2 = 0")).unionByName(old.filter("height % 2 != 0"))
+    return rows.select("txid", "height", (F.col("updated_at") > F.col("received_time")).alias("stamped"))
