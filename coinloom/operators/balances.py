@@ -11,6 +11,9 @@ from coinloom.functions.scalars import type_rank
 
 COIN = ["txid", "idx"]
 
+#: Heights whose steps of one address are summed in one task.
+STRETCH = 1_024
+
 
 def coins(io: DataFrame, spends: DataFrame) -> DataFrame:
     """Outputs with `spending_txid`, `spent_height` of the edge that spends them, null while unspent."""
@@ -116,36 +119,52 @@ def block_deltas(
     )
 
 
-def apply_deltas(watch: DataFrame, deltas: DataFrame, blocks: DataFrame, ready: DataFrame | None = None) -> DataFrame:
+def apply_deltas(watch: DataFrame, deltas: DataFrame, blocks: DataFrame, ready: DataFrame | None = None, stretch: int = STRETCH) -> DataFrame:
     """Watched addresses after all blocks in `deltas`, in order of height, as if one by one.
 
     A balance never falls below 0: with S the running sum from the start, the clamped value is
-    S - min(0, the least S so far). `ready` (height) limits the blocks.
+    S - min(0, the least S so far). `ready` (height) limits the blocks. Sums run inside stretches of
+    `stretch` heights, then over an address's stretches, so a hot address is no single sort.
     """
     steps = deltas if ready is None else deltas.join(ready.select("height"), "height", "left_semi")
-    steps = steps.join(blocks.select("height", "block_time"), "height").join(
-        watch.select("address", F.col("balance_sats").alias("b0"), F.col("utxo_count").alias("u0"), F.col("tx_count").alias("n0")), "address"
+    steps = steps.join(blocks.select("height", "block_time"), "height").join(watch.select("address"), "address", "left_semi")
+    inside = Window.partitionBy("address", "_stretch").orderBy("height").rowsBetween(Window.unboundedPreceding, 0)
+    running = steps.withColumn("_stretch", F.floor(F.col("height") / stretch)).select(
+        "*", F.sum("delta_sats").over(inside).alias("b"), F.sum("delta_utxos").over(inside).alias("u")
     )
-    order = Window.partitionBy("address").orderBy("height").rowsBetween(Window.unboundedPreceding, 0)
-    running = steps.select(
-        "*",
-        (F.col("b0") + F.sum("delta_sats").over(order)).alias("b"),
-        (F.col("u0") + F.sum("delta_utxos").over(order)).alias("u"),
+    stretches = running.groupBy("address", "_stretch").agg(
+        F.sum("delta_sats").alias("d"),
+        F.min("b").alias("b"),
+        F.sum("delta_utxos").alias("e"),
+        F.min("u").alias("u"),
+        F.sum("delta_txs").alias("n"),
+        F.min("block_time").alias("lo"),
+        F.max("block_time").alias("hi"),
+        F.max("height").cast("int").alias("h"),
+        F.max_by("rep_txid", "height").alias("rep"),
     )
-    final = running.groupBy("address").agg(
-        (F.max_by("b", "height") - F.least(F.lit(0), F.min("b"))).alias("_b"),
-        (F.max_by("u", "height") - F.least(F.lit(0), F.min("u"))).alias("_u"),
-        (F.first("n0") + F.sum("delta_txs")).alias("_n"),
-        F.min("block_time").alias("_lo"),
-        F.max("block_time").alias("_hi"),
-        F.max("height").cast("int").alias("_h"),
-        F.max_by("rep_txid", "height").alias("_rep"),
+    before = Window.partitionBy("address").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = stretches.withColumns({
+        "b": F.col("b") + F.coalesce(F.sum("d").over(before), F.lit(0)),
+        "u": F.col("u") + F.coalesce(F.sum("e").over(before), F.lit(0)),
+    })
+    final = carried.groupBy("address").agg(
+        F.sum("d").alias("_d"),
+        F.min("b").alias("_least_b"),
+        F.sum("e").alias("_e"),
+        F.min("u").alias("_least_u"),
+        F.sum("n").alias("_n"),
+        F.min("lo").alias("_lo"),
+        F.max("hi").alias("_hi"),
+        F.max("h").alias("_h"),
+        F.max_by("rep", "h").alias("_rep"),
     )
     out = watch.join(final, "address", "left")
+    clamped = lambda c, d, least: F.col(c) + F.col(d) - F.least(F.lit(0), F.col(c) + F.col(least))
     rules = {
-        "balance_sats": F.coalesce("_b", "balance_sats"),
-        "utxo_count": F.coalesce("_u", "utxo_count"),
-        "tx_count": F.coalesce("_n", "tx_count"),
+        "balance_sats": F.coalesce(clamped("balance_sats", "_d", "_least_b"), "balance_sats"),
+        "utxo_count": F.coalesce(clamped("utxo_count", "_e", "_least_u"), "utxo_count"),
+        "tx_count": F.coalesce(F.col("tx_count") + F.col("_n"), "tx_count"),
         "first_seen": F.least("first_seen", "_lo"),
         "last_seen": F.greatest("last_seen", "_hi"),
         "last_scanned_height": F.greatest("last_scanned_height", "_h"),

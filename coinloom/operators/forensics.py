@@ -13,6 +13,7 @@ from coinloom.functions.scalars import hop_confidence
 from coinloom.operators.balances import coins
 from coinloom.operators.components import connected_components
 from coinloom.operators.scratch import staged
+from coinloom.operators.skew import BLOCK, dealt
 
 DUST = 546
 
@@ -85,9 +86,13 @@ def price_merge(rows: DataFrame, time: str, prices: DataFrame, currency: str, pa
     return found.select("_row.*", "price").toDF(*rows.columns, "price")
 
 
-def match_amounts(left: DataFrame, right: DataFrame, tolerance: int, seconds: int) -> DataFrame:
+def match_amounts(left: DataFrame, right: DataFrame, tolerance: int, seconds: int, block: int = BLOCK) -> DataFrame:
     """Pairs of a left row and a later right row (id, sats, ts) with amounts within `tolerance` below and
-    times within `seconds`: both are cut to cells, and a left row looks into its own and the next cells."""
+    times within `seconds`: both are cut to cells, and a left row looks into its own and the next cells.
+
+    A popular amount makes one cell large; cells of more than `block` rows on a side are joined by
+    pairs of blocks. Rows without an amount or a time match nothing.
+    """
     cell = lambda c, w: F.floor(F.col(c) / w)
     at = F.unix_timestamp("ts")
     a = left.select(F.col("id").alias("left_id"), F.col("sats").alias("s1"), at.alias("t1"))
@@ -96,7 +101,8 @@ def match_amounts(left: DataFrame, right: DataFrame, tolerance: int, seconds: in
     a = a.withColumn("ct", F.explode(F.array(cell("t1", seconds + 1), cell("t1", seconds + 1) + 1)))
     b = b.withColumn("cs", cell("s2", tolerance + 1)).withColumn("ct", cell("t2", seconds + 1))
     near = (F.col("s1") - F.col("s2")).between(0, tolerance) & (F.col("t2") - F.col("t1")).between(0, seconds)
-    return a.join(b, ["cs", "ct"]).filter(near).select(
+    a, b = dealt(a.dropna(subset=["cs", "ct"]), b.dropna(subset=["cs", "ct"]), ["cs", "ct"], "left_id", "right_id", block)
+    return a.join(b, ["cs", "ct", "_i", "_j"]).filter(near).select(
         "left_id", "right_id", (F.col("s1") - F.col("s2")).alias("gap_sats"), (F.col("t2") - F.col("t1")).alias("gap_s")
     )
 

@@ -82,8 +82,10 @@ def test_clamped_deltas_as_a_loop(spark):
     state = {f"a{k}": [3, 1] for k in range(5)}
     for _, a, d, u, _, _ in steps:
         state[a] = [max(0, state[a][0] + d), max(0, state[a][1] + u)]
-    got = balances.apply_deltas(watch, deltas, blocks)
-    assert {r.address: [r.balance_sats, r.utxo_count] for r in got.collect()} == state
+    for stretch in (1, 3, 1_024):
+        got = balances.apply_deltas(watch, deltas, blocks, stretch=stretch).collect()
+        assert {r.address: [r.balance_sats, r.utxo_count] for r in got} == state
+        assert all((r.last_scanned_txid, r.tx_count) == (max((s for s in steps if s[1] == r.address))[5], sum(s[1] == r.address for s in steps)) for r in got)
 
 
 def test_untouched_watch_rows_stay(spark, small):
