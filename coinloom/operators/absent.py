@@ -61,9 +61,9 @@ class RangedTable:
     def _append(self, placed: DataFrame) -> None:
         """Filters first: if the rows then do not come, a filter says too much, never too little."""
         filters = placed.groupBy("range", "word").agg(F.bit_or("mask").alias("mask"))
-        filters.repartition("range").sortWithinPartitions("range", "word").write.mode("append").partitionBy("range").parquet(f"{self.root}/filters")
+        filters.repartition("range").sortWithinPartitions("range", "word").write.mode("append").option("compression", "zstd").partitionBy("range").parquet(f"{self.root}/filters")
         kept = placed.drop("word", "mask").repartition("range").sortWithinPartitions("range", *self.keys)
-        kept.write.mode("append").partitionBy("range").parquet(f"{self.root}/rows")
+        kept.write.mode("append").option("compression", "zstd").partitionBy("range").parquet(f"{self.root}/rows")
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(f"{self.layout}, range int").parquet(f"{self.root}/rows")

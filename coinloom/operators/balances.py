@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinloom.functions.scalars import type_rank
@@ -76,14 +76,15 @@ def recompute_watch(watch: DataFrame, io: DataFrame, spends: DataFrame, tx: Data
 
 
 def block_deltas(
-    watch: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, new: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
+    watch: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, new: Callable[[DataFrame], DataFrame] | None = None,
+    ident: Callable[[str], Column] = F.col,
+) -> DataFrame:
     """`height, address, delta_sats, delta_utxos, delta_txs, rep_txid`: what each block changes.
 
     Credits and debits are one list of events, so nothing is collected for a busy address. `new` may
     pick the events that count: it adds a column of that name to events (height, made, address, ...),
     where `made` is the height that the coin comes from. A transaction counts for an address unless
-    another of its events there is old.
+    another of its events there is old. `ident` makes ids of the column `txid` where the tables hold keys.
     """
     watched = watch.select("address")
     outs = (
@@ -115,7 +116,7 @@ def block_deltas(
         F.sum("sats").alias("delta_sats"),
         F.sum("coin").alias("delta_utxos"),
         F.count_if("first").alias("delta_txs"),
-        F.min("txid").alias("rep_txid"),
+        F.min(ident("txid")).alias("rep_txid"),
     )
 
 

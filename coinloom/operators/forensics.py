@@ -360,10 +360,13 @@ def spending_times(io: DataFrame, tx: DataFrame) -> DataFrame:
     return spent.join(tx.select("txid", F.col("received_time").alias("ts")), "txid").select("address", "ts")
 
 
-def first_funding(io: DataFrame, tx: DataFrame) -> DataFrame:
-    """`address, txid, first_time, sats, funder`: the first payment to each address and its largest input's address."""
+def first_funding(io: DataFrame, tx: DataFrame, ident: Callable[[str], Column] = F.col) -> DataFrame:
+    """`address, txid, first_time, sats, funder`: the first payment to each address and its largest input's address.
+
+    Of payments at one time that of the lowest id counts; `ident` makes ids of the column `txid` where the tables hold keys.
+    """
     paid = io.filter("io_type = 'out'").join(tx.select("txid", "received_time"), "txid").groupBy("address", "txid", "received_time").agg(F.sum("amount").alias("sats"))
-    first = paid.groupBy("address").agg(F.min(F.struct("received_time", "txid", "sats")).alias("f")).select(
+    first = paid.groupBy("address").agg(F.min(F.struct("received_time", ident("txid").alias("_id"), "txid", "sats")).alias("f")).select(
         "address", "f.txid", F.col("f.received_time").alias("first_time"), "f.sats"
     )
     funder = io.filter("io_type = 'in'").groupBy("txid").agg(F.max(F.struct("amount", "address")).alias("m")).select("txid", F.col("m.address").alias("funder"))

@@ -77,17 +77,22 @@ def outgoing_edges(
     milli = F.expr(
         "(cast(v_out * 1000 as decimal(19,0)) * cast(u_in as decimal(16,0))) div cast(nullif(total_in, 0) as decimal(19,0))"
     )
-    edges = (
+    # Flows are dealt by their edge once, before the distinct count, which would deal them by transaction too.
+    flows = (
         spent.join(inputs, "spending_txid")
         .join(tx.select(F.col("txid").alias("spending_txid"), "total_in", "received_time"), "spending_txid")
         .join(paid, "spending_txid")
+        .select("address", "other", "spending_txid", "received_time", milli.alias("milli"), (F.col("n_inputs") == 1).alias("single"))
+    )
+    edges = (
+        flows.repartition("address", "other")
         .groupBy("address", "other")
         .agg(
-            F.sum(milli).alias("value_milli"),
+            F.sum("milli").alias("value_milli"),
             F.count_distinct("spending_txid").alias("tx_count"),
             F.min("received_time").alias("first_seen"),
             F.max("received_time").alias("last_seen"),
-            F.bool_and(F.col("n_inputs") == 1).alias("single_input"),
+            F.bool_and("single").alias("single_input"),
         )
         .withColumn("value_sats", rounded_long(F.col("value_milli").cast("decimal(30,0)") / F.lit(1000)))
     )
@@ -117,17 +122,24 @@ def incoming_edges(
     )
     share = F.expr("cast(amount as decimal(18,0)) * cast(u_out as decimal(18,0)) div cast(nullif(total_out, 0) as decimal(18,0))")
     funders = io.filter("io_type = 'in' and address is not null").select("txid", F.col("address").alias("other"), "amount")
-    edges = (
+    flows = (
         got.join(funders, "txid")
         .join(tx.select("txid", "total_out", "received_time"), "txid")
         .join(counts, "txid", "left")
+        .select(
+            "address", "other", "txid", "received_time", (share if haircut else F.col("amount")).alias("sats"),
+            (F.coalesce("n_inputs", F.lit(1)) == 1).alias("single"),
+        )
+    )
+    edges = (
+        flows.repartition("address", "other")
         .groupBy("address", "other")
         .agg(
-            F.sum(share if haircut else F.col("amount")).alias("value_sats"),
+            F.sum("sats").alias("value_sats"),
             F.count_distinct("txid").alias("tx_count"),
             F.min("received_time").alias("first_seen"),
             F.max("received_time").alias("last_seen"),
-            F.bool_and(F.coalesce("n_inputs", F.lit(1)) == 1).alias("single_input"),
+            F.bool_and("single").alias("single_input"),
         )
     )
     return _ranked(edges, fanout)
