@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from coinloom.functions.scalars import hop_confidence
 from coinloom.operators.balances import coins
 from coinloom.operators.components import connected_components
-from coinloom.operators.scratch import staged
+from coinloom.operators.scratch import bucketed, staged
 from coinloom.operators.skew import BLOCK, dealt
 
 DUST = 546
@@ -196,17 +196,22 @@ def change_scores(io: DataFrame, spends: DataFrame, tx: DataFrame) -> DataFrame:
 
 def poison(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int | None = None) -> DataFrame:
     """`txid, idx, hop`: coins that anything tainted (txid, idx) leads to, at their first hop; all of them without `hops`."""
+    # A transaction that is reached taints all its outputs, so the walk goes over transactions.
     outs = io.filter("io_type = 'out'").select("txid", "idx")
-    edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
-    at = start.select("txid", "idx").distinct().withColumn("hop", F.lit(0))
-    whole = at
+    edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), F.col("spending_txid").alias("next"))
+    start = start.select("txid", "idx").distinct()
+    follows = bucketed(outs.join(edge, ["txid", "idx"]).select("txid", "next").distinct(), "txid")
+    at, whole = start.join(edge, ["txid", "idx"]).select(F.col("next").alias("txid")).distinct(), None
     for hop in itertools.count(1) if hops is None else range(1, hops + 1):
-        used = at.join(edge, ["txid", "idx"]).select(F.col("spending_txid").alias("txid")).distinct()
-        at = staged(outs.join(used, "txid").join(whole.select("txid", "idx"), ["txid", "idx"], "left_anti").withColumn("hop", F.lit(hop)))
+        at = staged((at if whole is None else at.join(whole, "txid", "left_anti")).withColumn("hop", F.lit(hop)))
         if at.isEmpty():
             break
-        whole = whole.unionByName(at)
-    return whole
+        whole = at if whole is None else whole.unionByName(at)
+        at = at.join(follows, "txid").select(F.col("next").alias("txid")).distinct()
+    coins = start.withColumn("hop", F.lit(0))
+    if whole is None:
+        return coins
+    return coins.unionByName(outs.join(whole, "txid").join(start, ["txid", "idx"], "left_anti").select("txid", "idx", "hop"))
 
 
 def haircut_taint(
@@ -360,16 +365,17 @@ def spending_times(io: DataFrame, tx: DataFrame) -> DataFrame:
     return spent.join(tx.select("txid", F.col("received_time").alias("ts")), "txid").select("address", "ts")
 
 
-def first_funding(io: DataFrame, tx: DataFrame, ident: Callable[[str], Column] = F.col) -> DataFrame:
+def first_funding(io: DataFrame, tx: DataFrame, ident: Callable[[str], Column] = F.col, name: Callable[[str], Column] = F.col) -> DataFrame:
     """`address, txid, first_time, sats, funder`: the first payment to each address and its largest input's address.
 
-    Of payments at one time that of the lowest id counts; `ident` makes ids of the column `txid` where the tables hold keys.
+    Of payments at one time that of the lowest id counts; `ident` makes ids of the column `txid` where the
+    tables hold keys, and `name` addresses of the column `address` where they hold codes.
     """
     paid = io.filter("io_type = 'out'").join(tx.select("txid", "received_time"), "txid").groupBy("address", "txid", "received_time").agg(F.sum("amount").alias("sats"))
     first = paid.groupBy("address").agg(F.min(F.struct("received_time", ident("txid").alias("_id"), "txid", "sats")).alias("f")).select(
         "address", "f.txid", F.col("f.received_time").alias("first_time"), "f.sats"
     )
-    funder = io.filter("io_type = 'in'").groupBy("txid").agg(F.max(F.struct("amount", "address")).alias("m")).select("txid", F.col("m.address").alias("funder"))
+    funder = io.filter("io_type = 'in'").groupBy("txid").agg(F.max(F.struct("amount", name("address").alias("_name"), "address")).alias("m")).select("txid", F.col("m.address").alias("funder"))
     return first.join(funder, "txid", "left").select("address", "txid", "first_time", "sats", "funder")
 
 

@@ -7,14 +7,15 @@ from __future__ import annotations
 
 import itertools
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinloom.functions.scalars import attribution, category_rank, hop_confidence, rounded_long, signed_level, to_coins
-from coinloom.operators.balances import address_totals, output_counts
-from coinloom.operators.scratch import staged
+from coinloom.operators.balances import output_counts
+from coinloom.operators.scratch import bucketed, staged
 
 # Fixed value: addresses with more outputs are not followed.
 HUB_OUTPUTS = 20_000
@@ -31,8 +32,8 @@ class Limits:
     cluster_addresses: int | None = 8_000
 
 
-def _ranked(edges: DataFrame, fanout: int | None) -> DataFrame:
-    order = Window.partitionBy("address").orderBy(F.desc_nulls_last("value_sats"), "other")
+def _ranked(edges: DataFrame, fanout: int | None, name: Callable[[str], Column]) -> DataFrame:
+    order = Window.partitionBy("address").orderBy(F.desc_nulls_last("value_sats"), name("other"))
     ranked = edges.withColumn("rank", F.row_number().over(order))
     return ranked if fanout is None else ranked.filter(F.col("rank") <= fanout)
 
@@ -51,14 +52,15 @@ def first_rows(rows: DataFrame, by: str, order: list[Column | str], most: int, i
 
 def outgoing_edges(
     frontier: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame,
-    fanout: int | None = 10, max_coins: int | None = 2_000,
+    fanout: int | None = 10, max_coins: int | None = 2_000, name: Callable[[str], Column] = F.col,
 ) -> DataFrame:
     """Recipients of the value that each address of `frontier` (address) sent, weighted by haircut.
 
     Of an address only its `max_coins` largest outputs are followed (ties by txid, idx). A recipient
     gets of each spending transaction its share of what the address put in, in thousandths of a
     satoshi, cut, then summed and rounded; null where the transaction's input total is null or 0.
-    `single_input`: every transaction had one input.
+    `single_input`: every transaction had one input. Recipients of equal value are ranked by address;
+    `name` makes addresses of codes where the tables hold those.
     """
     outs = io.filter("io_type = 'out' and address is not null")
     own = outs.join(frontier.select("address").distinct(), "address", "left_semi").select("address", "txid", "idx", "amount")
@@ -96,12 +98,12 @@ def outgoing_edges(
         )
         .withColumn("value_sats", rounded_long(F.col("value_milli").cast("decimal(30,0)") / F.lit(1000)))
     )
-    return _ranked(edges, fanout)
+    return _ranked(edges, fanout, name)
 
 
 def incoming_edges(
     frontier: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame,
-    fanout: int | None = 10, max_coins: int | None = 2_000, haircut: bool = False,
+    fanout: int | None = 10, max_coins: int | None = 2_000, haircut: bool = False, name: Callable[[str], Column] = F.col,
 ) -> DataFrame:
     """Funders of each address of `frontier`: inputs of the transactions that paid it, in full.
 
@@ -142,7 +144,7 @@ def incoming_edges(
             F.bool_and("single").alias("single_input"),
         )
     )
-    return _ranked(edges, fanout)
+    return _ranked(edges, fanout, name)
 
 
 def co_spent(
@@ -196,7 +198,7 @@ def size_warning(limits: Limits) -> str | None:
 
 def build_graph(
     origins: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, tags: DataFrame | None = None,
-    limits: Limits = Limits(), direction: str = "out", cluster: bool = True,
+    limits: Limits = Limits(), direction: str = "out", cluster: bool = True, name: Callable[[str], Column] = F.col,
 ) -> Graph:
     """Breadth-first graphs of `origins` (origin), level by level, for all origins at once.
 
@@ -224,7 +226,7 @@ def build_graph(
                 frontier.join(hubs, "address", "left_semi").filter("address = origin")
             )
             step = outgoing_edges if side == "out" else incoming_edges
-            found = step(open_nodes, io, spends, tx, limits.fanout, limits.max_coins)
+            found = step(open_nodes, io, spends, tx, limits.fanout, limits.max_coins, name=name)
             level = open_nodes.join(found.drop("value_milli"), "address").withColumn("rank", F.col("rank").cast("long"))
             level = _capped(level, nodes, limits.max_nodes, depth == 0)
             level = staged(level.withColumn("depth", F.lit(depth)).withColumn("dir", F.lit(side)))
@@ -258,10 +260,10 @@ def build_graph(
     for m in cut_marks[1:]:
         marks = marks.unionByName(m)
     return Graph(
-        _node_frame(nodes, marks.distinct(), members, _hubs(nodes, io, limits.hub_outputs), io, tags),
+        staged(_node_frame(nodes, marks.distinct(), members, limits.hub_outputs, io, tags)),
         _edge_frame(edges, members),
         members,
-        _edge_frame_incoming(origins, members, io, spends, tx, limits),
+        _edge_frame_incoming(origins, members, io, spends, tx, limits, name),
     )
 
 
@@ -292,21 +294,23 @@ def _capped(level: DataFrame, nodes: DataFrame, most: int, first_level: bool) ->
 
 
 def _node_frame(
-    nodes: DataFrame, marks: DataFrame, members: DataFrame, hubs: DataFrame, io: DataFrame, tags: DataFrame | None
+    nodes: DataFrame, marks: DataFrame, members: DataFrame, hub_outputs: int, io: DataFrame, tags: DataFrame | None
 ) -> DataFrame:
     wanted = nodes.select("address").distinct()
-    totals = address_totals(io.join(wanted, "address", "left_semi"))
+    side = lambda kind: F.when(F.col("io_type") == kind, F.col("amount"))
+    totals = io.join(wanted, "address", "left_semi").groupBy("address").agg(
+        F.sum(side("out")).alias("received_sats"), F.sum(side("in")).alias("sent_sats"), (F.count_if(F.col("io_type") == "out") > hub_outputs).alias("_hub")
+    )
     frame = (
         nodes.drop("truncated")
         .join(marks.withColumn("truncated", F.lit(True)), ["origin", "address"], "left")
         .join(members.withColumn("_own", F.lit(True)), ["origin", "address"], "left")
-        .join(hubs.withColumn("_hub", F.lit(True)), "address", "left")
         .join(totals, "address", "left")
         .select(
             "origin", "address", "depth", "side", signed_level(F.col("depth"), F.col("side")).alias("level"),
             (F.col("address") == F.col("origin")).alias("is_origin"),
             (F.col("_own").isNotNull() & (F.col("address") != F.col("origin"))).alias("same_owner"),
-            (F.col("_hub").isNotNull() & (F.col("address") != F.col("origin"))).alias("is_hub"),
+            (F.coalesce("_hub", F.lit(False)) & (F.col("address") != F.col("origin"))).alias("is_hub"),
             F.coalesce("truncated", F.lit(False)).alias("truncated"),
             to_coins(F.coalesce("received_sats", F.lit(0))).alias("total_received_btc"),
             to_coins(F.coalesce("sent_sats", F.lit(0))).alias("total_sent_btc"),
@@ -341,9 +345,9 @@ def _edge_frame(edges: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _edge_frame_incoming(
-    origins: DataFrame, members: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, limits: Limits
+    origins: DataFrame, members: DataFrame, io: DataFrame, spends: DataFrame, tx: DataFrame, limits: Limits, name: Callable[[str], Column]
 ) -> DataFrame:
-    found = incoming_edges(origins.select(F.col("origin").alias("address")), io, spends, tx, limits.fanout, limits.max_coins)
+    found = incoming_edges(origins.select(F.col("origin").alias("address")), io, spends, tx, limits.fanout, limits.max_coins, name=name)
     own = members.select(F.col("origin").alias("_o"), F.col("address").alias("_a"))
     return (
         found.join(own, (F.col("address") == F.col("_o")) & (F.col("other") == F.col("_a")), "left")
@@ -388,30 +392,31 @@ def coin_trail(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int) ->
     with `paths`, so the frame never grows faster than the set of coins.
     """
     outs = io.filter("io_type = 'out'").select("txid", "idx", "amount", "address")
-    at = start.select("txid", "idx").groupBy("txid", "idx").agg(F.count("*").alias("paths")).withColumn("hop", F.lit(0))
-    whole = at
+    at = start.groupBy("txid", "idx").agg(F.count("*").alias("paths")).withColumn("hop", F.lit(0))
+    whole = at.join(outs, ["txid", "idx"])
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     for hop in range(1, hops + 1):
         spent = at.join(edge, ["txid", "idx"]).groupBy("spending_txid").agg(F.sum("paths").alias("paths"))
         at = staged(
-            spent.join(outs.select(F.col("txid").alias("spending_txid"), "idx"), "spending_txid")
-            .select(F.col("spending_txid").alias("txid"), "idx", "paths", F.lit(hop).alias("hop"))
+            spent.withColumnRenamed("spending_txid", "txid").join(outs, "txid")
+            .select("txid", "idx", "paths", F.lit(hop).alias("hop"), "amount", "address")
         )
         whole = whole.unionByName(at)
-    return whole.join(outs, ["txid", "idx"])
+    return whole
 
 
 def provenance(start: DataFrame, io: DataFrame, spends: DataFrame, tags: DataFrame, hops: int | None = None) -> DataFrame:
     """`hop, txid, is_coinbase, is_tagged`: transactions behind each start transaction (txid), back to those
     without inputs or with a tagged funder, where the walk stops; without `hops` all the way."""
-    ins = io.filter("io_type = 'in'").select("txid", "address").distinct()
-    stops = ins.join(tags.select("address").distinct(), "address", "left_semi").select("txid").distinct()
-    edge = spends.select(F.col("spending_txid").alias("txid"), "prev_txid").distinct()
+    ins = io.filter("io_type = 'in'").select("txid", "address")
+    stops = staged(ins.join(tags.select("address").distinct(), "address", "left_semi").select("txid").distinct())
+    edge = bucketed(spends.select(F.col("spending_txid").alias("txid"), "prev_txid").distinct(), "txid")
+    onward = bucketed(edge.join(stops, "txid", "left_anti"), "txid")
     at = start.select("txid").distinct().withColumn("hop", F.lit(0))
     whole = at
     for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         at = staged(
-            at.join(stops, "txid", "left_anti").join(edge, "txid").select(F.col("prev_txid").alias("txid")).distinct()
+            at.join(onward, "txid").select(F.col("prev_txid").alias("txid")).distinct()
             .join(whole.select("txid"), "txid", "left_anti").withColumn("hop", F.lit(hop))
         )
         if at.isEmpty():
