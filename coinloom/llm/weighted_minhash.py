@@ -38,6 +38,8 @@ AGREE, SURE = 29, 42
 # A shingle's weight is its count times 1 (it stands in every document) to 1 + IDF_GAIN (it stands in
 # at most one of RARE documents, or in one).
 IDF_GAIN, RARE = 0.25, 4096
+# Words of 64 bits of the sketch of the texts that are fetched.
+LIKELY_WORDS = 1 << 18
 # Members and bytes of text of a block of a bucket; two blocks meet in a task.
 BLOCK, BLOCK_BYTES = 2048, 8_000_000
 
@@ -415,6 +417,20 @@ def _jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) ->
     return float(low / (w1.sum() + w2.sum() - low))
 
 
+def likely(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """`rows` without most of those whose keys are not in `wanted`, and with all whose keys are.
+
+    One bit a key of `wanted` in a sketch of fixed size, at most LIKELY_WORDS words, which is broadcast;
+    so a join that follows shuffles few rows that it drops.
+    """
+    h = F.xxhash64(*keys)
+    bit = F.call_function("shiftrightunsigned", h, F.lit(40)).bitwiseAND(F.lit(63)).cast("int")
+    placed = {"_word": F.pmod(h, F.lit(LIKELY_WORDS)), "_bit": F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)}
+    held = staged(wanted.select(*(c.alias(n) for n, c in placed.items())).groupBy("_word").agg(F.bit_or("_bit").alias("_held")))
+    met = rows.withColumns(placed).join(F.broadcast(held), "_word")
+    return met.filter(F.col("_bit").bitwiseAND(F.col("_held")) != 0).select(*rows.columns)
+
+
 def nameless_class(text: Column) -> Column:
     """The negative class id of texts that have no doc_id."""
     return -2 - F.shiftrightunsigned(F.xxhash64(F.md5(text)), 1)
@@ -446,9 +462,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     members = staged(sized(keys, "bucket", "node"))
     wanted = members.select("node").distinct()
     near = staged(nodes.join(wanted, "node", "left_semi"))
-    named = base.select(F.coalesce(F.col("doc_id"), nameless).cast("long").alias("node"), F.col("print").alias("p"), "text")
+    named = base.select(F.coalesce(F.col("doc_id"), nameless).cast("long").alias("node"), "print", "text")
+    fetched = near.select("node", "print")
     texts = staged(
-        named.join(near.select("node", "print"), "node").filter("p = print").groupBy("node").agg(F.first("text").alias("text"))
+        likely(named, fetched, "node", "print").join(fetched, ["node", "print"]).groupBy("node").agg(F.first("text").alias("text"))
     )
     links = staged(_verified(staged(_leaders(members.join(near.select("node", "sig"), "node"))), texts, frequencies, threshold))
     found = staged(connected_components(links, "a", "b"))

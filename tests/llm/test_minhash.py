@@ -127,3 +127,11 @@ def test_a_group_gives_fewer_links_than_members(spark):
     same = group.withColumn("bucket", group.bands[0]).groupBy("bucket").count().orderBy("count", ascending=False).first()
     one = group.filter(group.bucket == same["bucket"]).coalesce(1).sortWithinPartitions("bucket", "_bi", "_bj", "node")
     assert wm._decided(one, freq, 0.8).count() < same["count"]
+
+
+def test_likely_keeps_all_that_are_wanted_and_few_others(spark):
+    rows = spark.range(200_000).selectExpr("id as node", "md5(cast(id as string)) as print", "'text' as text")
+    wanted = rows.filter("node % 10 = 0").select("node", "print")
+    kept = wm.likely(rows, wanted, "node", "print")
+    assert kept.columns == rows.columns
+    assert kept.filter("node % 10 = 0").count() == 20_000 and kept.filter("node % 10 != 0").count() < 2_000
