@@ -196,22 +196,32 @@ def change_scores(io: DataFrame, spends: DataFrame, tx: DataFrame) -> DataFrame:
 
 def poison(start: DataFrame, io: DataFrame, spends: DataFrame, hops: int | None = None) -> DataFrame:
     """`txid, idx, hop`: coins that anything tainted (txid, idx) leads to, at their first hop; all of them without `hops`."""
-    # A transaction that is reached taints all its outputs, so the walk goes over transactions.
+    # A transaction that is reached taints all its outputs, so the walk goes over transactions. Only what is
+    # reached is shuffled, not the tables: outputs lie by transaction, spends by coin.
     outs = io.filter("io_type = 'out'").select("txid", "idx")
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), F.col("spending_txid").alias("next"))
-    start = start.select("txid", "idx").distinct()
-    follows = bucketed(outs.join(edge, ["txid", "idx"]).select("txid", "next").distinct(), "txid")
+    start = bucketed(start.select("txid", "idx").distinct(), "txid")
     at, whole = start.join(edge, ["txid", "idx"]).select(F.col("next").alias("txid")).distinct(), None
     for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         at = staged((at if whole is None else at.join(whole, "txid", "left_anti")).withColumn("hop", F.lit(hop)))
         if at.isEmpty():
             break
         whole = at if whole is None else whole.unionByName(at)
-        at = at.join(follows, "txid").select(F.col("next").alias("txid")).distinct()
+        at = outs.join(at, "txid").join(edge, ["txid", "idx"]).select(F.col("next").alias("txid")).distinct()
     coins = start.withColumn("hop", F.lit(0))
     if whole is None:
         return coins
-    return coins.unionByName(outs.join(whole, "txid").join(start, ["txid", "idx"], "left_anti").select("txid", "idx", "hop"))
+    return coins.unionByName(same_coins(outs.join(whole, "txid"), start, "left_anti").select("txid", "idx", "hop"))
+
+
+def same_coins(rows: DataFrame, coins: DataFrame, how: str) -> DataFrame:
+    """`rows` joined to `coins` on (txid, idx), where both lie by txid: only that is a key, so neither is dealt by coin.
+
+    Rows of one transaction meet all of its coins, so that work is bounded by what a transaction may hold.
+    """
+    coins = coins.withColumnsRenamed({"txid": "_txid", "idx": "_idx"})
+    place = (F.col("idx") >= F.col("_idx")) & (F.col("idx") <= F.col("_idx"))
+    return rows.join(coins, (F.col("txid") == F.col("_txid")) & place, how).drop("_txid", "_idx")
 
 
 def haircut_taint(
@@ -225,7 +235,7 @@ def haircut_taint(
     outs = io.filter("io_type = 'out'").select("txid", "idx", "amount")
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), "spending_txid")
     totals = tx.select("txid", F.nullif("total_in", F.lit(0)).alias("total_in"))
-    at = outs.join(start.select("txid", "idx").distinct(), ["txid", "idx"], "left_semi").select(
+    at = same_coins(outs, start.select("txid", "idx").distinct(), "left_semi").select(
         "txid", "idx", F.lit(0).alias("hop"), (F.col("amount") * 1000).alias("tainted_milli")
     )
     share = F.expr("(cast(amount as decimal(16,0)) * cast(put as decimal(19,0))) div cast(total_in as decimal(19,0))")
