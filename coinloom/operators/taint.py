@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coinloom.operators.forensics import poison
-from coinloom.operators.scratch import staged
+from coinloom.operators.forensics import poison, same_coins
+from coinloom.operators.scratch import bucketed, staged
 
 COIN = ["txid", "idx"]
 
@@ -28,11 +28,13 @@ def by_layers(
     transactions, as `txid, vin, ...`, and those of the start coins, and gives the rows of all their
     outputs. A start coin of a transaction that is itself reached is settled with that transaction.
     """
-    reached = staged(poison(start, io, spends).select(*COIN))
+    start = bucketed(start.select(*COIN).distinct(), "txid")
+    reached = poison(start, io, spends).select(*COIN)
     edge = spends.select(F.col("prev_txid").alias("txid"), F.col("prev_vout").alias("idx"), F.col("spending_txid").alias("next"), F.col("spending_vin").alias("vin"))
-    used = staged(reached.join(edge, COIN))
-    need = staged(used.groupBy(F.col("next").alias("txid")).agg(F.count("*").alias("_need")))
-    own = staged(first(start.select(*COIN).distinct()))
+    # Read in every layer, so each lies by what it is joined on there.
+    used = bucketed(reached.join(edge, COIN), *COIN)
+    need = bucketed(used.groupBy(F.col("next").alias("txid")).agg(F.count("*").alias("_need")), "txid")
+    own = bucketed(first(start), "txid")
     settled = own.join(need, "txid", "left_anti")
     whole, waiting, layer = settled.withColumn("layer", F.lit(0)), None, 0
     while True:
@@ -60,12 +62,12 @@ def haircut_totals(start: DataFrame, io: DataFrame, spends: DataFrame, tx: DataF
     share = F.expr("(cast(amount as decimal(16,0)) * cast(put as decimal(19,0))) div cast(total_in as decimal(19,0))")
 
     def first(start: DataFrame) -> DataFrame:
-        return outs.join(start, COIN).select(*COIN, (F.col("amount") * 1000).alias("tainted_milli"))
+        return same_coins(outs, start, "inner").select(*COIN, (F.col("amount") * 1000).alias("tainted_milli"))
 
     def step(inputs: DataFrame, own: DataFrame) -> DataFrame:
         put = inputs.groupBy("txid").agg(F.sum("tainted_milli").alias("put"))
         base = own.withColumnRenamed("tainted_milli", "_base")
-        rows = put.join(totals, "txid").join(outs, "txid").join(base, COIN, "left")
+        rows = same_coins(put.join(totals, "txid").join(outs, "txid"), base, "left")
         return rows.select(*COIN, F.when(F.col("_base").isNull(), share).otherwise(F.col("_base") + F.coalesce(share, F.lit(0))).alias("tainted_milli"))
 
     return by_layers(start, io, spends, first, step)
@@ -87,7 +89,7 @@ def ordered_intervals(start: DataFrame, io: DataFrame, spends: DataFrame, last_f
         return rows.withColumn("_end", F.sum("amount").over(up_to)).withColumn("_at", F.col("_end") - F.col("amount"))
 
     def first(start: DataFrame) -> DataFrame:
-        return outs.join(start, COIN).select(*COIN, F.lit(0).cast("bigint").alias("lo"), F.col("amount").alias("hi"))
+        return same_coins(outs, start, "inner").select(*COIN, F.lit(0).cast("bigint").alias("lo"), F.col("amount").alias("hi"))
 
     def step(inputs: DataFrame, own: DataFrame) -> DataFrame:
         these = inputs.select("txid").distinct()
@@ -104,7 +106,7 @@ def ordered_intervals(start: DataFrame, io: DataFrame, spends: DataFrame, last_f
             F.when(F.col("s.lo").isNull(), 0).otherwise(F.least(F.col("s.hi"), F.col("p._end")) - F.col("p._at")).cast("bigint").alias("hi"),
         )
         whole = own.join(these, "txid", "left_semi")
-        return cut.join(whole.select(*COIN), COIN, "left_anti").unionByName(whole)
+        return same_coins(cut, whole.select(*COIN), "left_anti").unionByName(whole)
 
     return by_layers(start, io, spends, first, step)
 
