@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinloom.operators.scratch import staged
+from coinloom.operators.scratch import bucketed, staged
 
 ROWS_PER_RANGE = 1_000_000
 KEYS_PER_WORD = 4
@@ -52,14 +52,15 @@ class RangedTable:
         words = max(1, -(-size // ranges) // KEYS_PER_WORD)
         layout = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
         table = cls(rows.sparkSession, root, tuple(keys), layout, ranges, words)
-        table._append(table._place(rows))
+        table._append(rows)
         return table
 
     def _place(self, rows: DataFrame) -> DataFrame:
         return rows.select("*", *_placed(list(self.keys), self.ranges, self.words))
 
-    def _append(self, placed: DataFrame) -> None:
+    def _append(self, rows: DataFrame) -> None:
         """Filters first: if the rows then do not come, a filter says too much, never too little."""
+        placed = self._place(rows)
         filters = placed.groupBy("range", "word").agg(F.bit_or("mask").alias("mask"))
         filters.repartition("range").sortWithinPartitions("range", "word").write.mode("append").option("compression", "zstd").partitionBy("range").parquet(f"{self.root}/filters")
         kept = placed.drop("word", "mask").repartition("range").sortWithinPartitions("range", *self.keys)
@@ -80,14 +81,15 @@ class RangedTable:
     def insert(self, new: DataFrame) -> tuple[DataFrame, list[int]]:
         """Append the rows of `new` whose key is not there, one a key; gives them and the ranges that were read.
 
-        Of rows with one key any counts. If an insert breaks off it may be done again.
+        Of rows with one key any counts. If an insert breaks off it may be done again. New rows are dealt by key
+        once; ranges, words and bits are made of the keys where they are needed.
         """
         keys = list(self.keys)
-        placed = staged(self._place(new.dropDuplicates(keys)))
-        maybe = staged(self.possible(placed).select("range", *keys))
+        once = bucketed(new.dropDuplicates(keys), *keys)
         # One number a range at most.
+        maybe = self.possible(self._place(once.select(*keys)).select("range", "word", "mask"))
         read = sorted(r["range"] for r in maybe.select("range").distinct().collect())
-        there = self.rows().filter(F.col("range").isin(read)).select("range", *keys).join(maybe, ["range", *keys], "left_semi")
-        fresh = staged(placed.join(there.select(*keys), keys, "left_anti") if read else placed)
+        there = self.rows().filter(F.col("range").isin(read)).select(*keys)
+        fresh = staged(once.join(there, keys, "left_anti")) if read else once
         self._append(fresh)
-        return fresh.drop("range", "word", "mask"), read
+        return fresh, read

@@ -107,3 +107,15 @@ def test_one_row_of_many_is_located(spark):
     gone = coverage.differing_rows(rows, other.filter("v != -1"), ["txid"]).collect()
     assert [(r.txid, r.what) for r in gone] == [(found[0].txid, "missing")]
     assert {r.what for r in coverage.differing_rows(rows.limit(0), rows.limit(3), ["txid"]).collect()} == {"added"}
+
+
+def test_an_insert_deals_new_rows_by_key_once(spark, tmp_path, monkeypatch):
+    """What does not belong to the rows is not written beside them, and what is written lies by key."""
+    table, written = RangedTable.create(numbered(spark, 0, 400, 2), str(tmp_path), ["txid", "idx"], rows_per_range=50), []
+    monkeypatch.setattr("coinloom.operators.absent.staged", lambda df: written.append(df) or df.localCheckpoint())
+    added, _ = table.insert(numbered(spark, 0, 400))
+    (fresh,) = written
+    assert added.columns == fresh.columns == ["txid", "idx", "v"] and added.count() == 200
+    plan = fresh.hint("merge")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("+- == Initial Plan")[0].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) <= 1, plan
